@@ -100,7 +100,7 @@ def status_transition(spark: SparkSession, folder: str) -> DataFrame:
     """Orders get a new status from their lines, but only orders in the state ``init``."""
     instances = _order_instances(spark, folder)
     lines = table(spark, folder, "lineitem").groupBy(F.col("l_orderkey").alias("tid")).agg(
-        F.when(F.max("l_linestatus") == "F", F.lit("finish")).otherwise(F.lit("ready")).alias("new_status")
+        F.when(F.bool_and(F.col("l_linestatus") == "F"), F.lit("finish")).otherwise(F.lit("ready")).alias("new_status")
     )
     changes = instances.select(*ops.INSTANCE).join(lines, "tid")
     changed = ops.transition(instances, changes, NOW, only_if="init")

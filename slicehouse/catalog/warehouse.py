@@ -138,10 +138,10 @@ def create_if_absent(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def partition_gate(spark: SparkSession, folder: str) -> DataFrame:
-    """Days from the first order of a range of customers on which no event slice exists."""
+    """Days which the order dates, moved into the years of the events, ask for and which have no event slice."""
     name = _sliced_events(spark, folder, "gate")
     days = table(spark, folder, "orders").select(
-        F.date_format(F.col("o_orderdate") + F.expr("INTERVAL 8 YEAR"), "yyyyMMdd").alias("pt")
+        F.date_format(F.col("o_orderdate") + F.expr("INTERVAL 27 YEAR"), "yyyyMMdd").alias("pt")
     )
     return missing_slices(days, name)
 
@@ -164,7 +164,7 @@ def manifest_ingest(spark: SparkSession, folder: str) -> DataFrame:
 
     layouts = {"orders": "derived", "lineitem": "sub_slices"}
     specs = [
-        with_layout(spec, layouts.get(spec.db_table, "slice"), "to_date(o_orderdate)")
+        with_layout(spec, layouts.get(spec.db_table, "slice"), "date_format(o_orderdate, 'yyyy-MM')")
         for spec in load_specs(read_manifest(spark, listed))
     ]
     ledger = ingest_manifest(
@@ -233,12 +233,12 @@ WHERE event_type IN ('click', 'view') AND {_DAY} >= '2024-01-15'""",
 WHERE ({_DAY} <> '2024-01-10' OR event_type = 'click') AND NOT ({_DAY} >= '2024-01-20' AND event_type = 'error')""",
     "replace_unpartitioned": """SELECT c_custkey, c_nationkey, CAST(NULL AS VARCHAR) AS data_date FROM customer WHERE c_acctbal >= 5000
 UNION ALL SELECT c_custkey, c_nationkey, '2024-01-01' FROM customer WHERE c_mktsegment = 'BUILDING'""",
-    "partition_gate": f"""SELECT DISTINCT strftime(o_orderdate + INTERVAL 8 YEAR, '%Y%m%d') AS pt FROM orders
-WHERE strftime(o_orderdate + INTERVAL 8 YEAR, '%Y%m%d') NOT IN (SELECT {_PT} FROM events)""",
+    "partition_gate": f"""SELECT DISTINCT strftime(o_orderdate + INTERVAL 27 YEAR, '%Y%m%d') AS pt FROM orders
+WHERE strftime(o_orderdate + INTERVAL 27 YEAR, '%Y%m%d') NOT IN (SELECT {_PT} FROM events)""",
     "slice_list": f"SELECT DISTINCT {_PT} AS pt FROM events",
     "manifest_ingest": """SELECT *, '2024013106' AS batch, '2024-01-31 07:00:00' AS update_time FROM (
   SELECT 'customer' AS db_table, 'finish' AS status, count(*) AS num_rows FROM customer
-  UNION ALL SELECT 'orders', 'finish', count(*) FROM (SELECT DISTINCT o_custkey, o_orderstatus, o_orderdate FROM orders)
+  UNION ALL SELECT 'orders', 'finish', count(*) FROM (SELECT DISTINCT o_custkey, o_orderstatus, strftime(o_orderdate, '%Y-%m') FROM orders)
   UNION ALL SELECT 'lineitem', 'finish', count(*) FROM lineitem
   UNION ALL SELECT 'no_such_table', 'error', NULL)""",
     "batch_snapshot": _SNAPSHOT.format(batch="2024010106", now="2024-01-01 06:00:00")

@@ -105,7 +105,7 @@ def mapping_from_text(mapping: str | None) -> dict[str, str]:
     """``target:source|target:source`` as a dict. The source may hold colons, for instance in a time of day."""
     if not mapping or not mapping.strip():
         return {}
-    pairs = (pair.split(":", 1) for pair in mapping.split("|"))
+    pairs = (pair.split(":", 1) for pair in mapping.split("|") if pair.strip())
     return {target.strip(): source.strip() for target, source in pairs}
 
 

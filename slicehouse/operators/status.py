@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The states of an instance.
-INIT, READY, RUNNING, FINISH, ERROR = "init", "ready", "running", "finish", "error"
+STATES = INIT, READY, RUNNING, FINISH, ERROR = ("init", "ready", "running", "finish", "error")
 
 TASK = ["business_name", "tid"]
 INSTANCE = ["business_name", "batch", "tid"]
@@ -107,9 +107,16 @@ def transition(
     With ``only_if``, a change applies only to instances in that state. ``ready`` sets the start time and ``finish`` the
     finish time. Two changes to one instance are an error, since their order is unknown.
     """
-    single = changes.groupBy(*INSTANCE).agg(F.max("new_status").alias("new_status"), F.count(F.lit(1)).alias("changes"))
-    twice = F.raise_error(F.concat(F.lit("more than one change for instance "), F.concat_ws("/", *INSTANCE)))
-    single = single.select(*INSTANCE, F.when(F.col("changes") > 1, twice).otherwise(F.col("new_status")).alias("new_status"))
+    # States are numbered here, because Spark aggregates numbers by hash but has to sort for text.
+    number = F.array_position(F.array(*map(F.lit, STATES)), F.col("new_status"))
+    single = changes.groupBy(*INSTANCE).agg(F.min(number).alias("number"), F.count(F.lit(1)).alias("changes"))
+    key = F.concat_ws("/", *INSTANCE)
+    status = (
+        F.when(F.col("changes") > 1, F.raise_error(F.concat(F.lit("more than one change for instance "), key)))
+        .when(F.col("number").isNull() | (F.col("number") == 0), F.raise_error(F.concat(F.lit("unknown state for instance "), key)))
+        .otherwise(F.element_at(F.array(*map(F.lit, STATES)), F.col("number").cast("int")))
+    )
+    single = single.select(*INSTANCE, status.alias("new_status"))
     applies = F.col("new_status").isNotNull()
     if only_if is not None:
         applies &= F.col("status") == only_if

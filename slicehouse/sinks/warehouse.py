@@ -92,15 +92,18 @@ def overwrite_table(rows: DataFrame, table: str) -> int:
     return seen.get["rows"]
 
 
-def overwrite_slice(rows: DataFrame, table: str, **slice_: object) -> int:
+def overwrite_slice(rows: DataFrame, table: str, rebalance: bool = False, **slice_: object) -> int:
     """Replace exactly one slice; no rows leave an empty slice. Returns the number of rows written.
 
+    Rows are written by the tasks that have them, without a shuffle. Where a filter left those tasks with little,
+    ``rebalance`` gives fewer and larger files.
+
     The rows take the place of the old ones when the job commits, so a job that fails half-way leaves the old slice.
     """
     spark = rows.sparkSession
     _require_partitions(spark, table, list(slice_))
     placed = align_to(rows, data_schema(spark, table))
-    counted, seen = _counted(placed)
+    counted, seen = _counted(placed.hint("rebalance") if rebalance else placed)
     _insert(counted.withColumns({key: F.lit(value) for key, value in slice_.items()}), table, mode="dynamic")
     written = seen.get["rows"]
     if written == 0:  # Without rows, the statement above touches no slice.
@@ -185,7 +188,7 @@ def replace_rows(rows: DataFrame, table: str, where: str, params: Mapping[str, o
 
 
 def _slices(rows: DataFrame, keys: Sequence[str]) -> set[Row]:
-    return set(rows.select(*keys).distinct().toLocalIterator())
+    return set(rows.select(*keys).distinct().collect())
 
 
 def _in_slices(slices: set[Row], keys: Sequence[str]) -> Column:
