@@ -165,26 +165,35 @@ def replace_rows(rows: DataFrame, table: str, where: str, params: Mapping[str, o
     new = align_to(rows, target)
     doomed = filter_with(old, where, params)
     kept = filter_with(old, f"NOT coalesce(({where}), false)", params)
-    counted, seen = _counted(new)
 
     if not keys:  # One folder: a table cannot be overwritten while it is read, so the result is written aside first.
         aside = scratch_name(spark, "replace")
-        kept.select(*target).unionByName(counted).write.format("parquet").saveAsTable(aside)
+        merged, seen = _merged(kept.select(*target), new, keys)
+        merged.write.format("parquet").saveAsTable(aside)
         _insert(spark.table(aside).select(*target), table, mode="static")
         spark.sql(f"DROP TABLE {text.name(aside)}")
-        return seen.get["rows"]
+        return seen.get["added"]
 
     # The catalog holds one entry per slice on the driver anyway, so these lists are no larger than what it has.
     losing = _slices(doomed, keys)
     gaining = _slices(new, keys)
     staying = _slices(kept.where(_in_slices(losing, keys)), keys) if losing else set()
-    touched = losing | gaining
-    if touched:
-        survivors = kept.where(_in_slices(touched, keys)).select(*target)
-        _insert(survivors.unionByName(counted).hint("rebalance", *keys), table, mode="dynamic")
+    added = 0
+    if gaining or staying:
+        merged, seen = _merged(kept.where(_in_slices(losing | gaining, keys)).select(*target), new, keys)
+        _insert(merged, table, mode="dynamic")
+        added = seen.get["added"]
     for emptied in losing - gaining - staying:
         _empty_slice(spark, table, emptied.asDict())
-    return seen.get["rows"] if touched else 0
+    return added
+
+
+def _merged(kept: DataFrame, new: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Observation]:
+    """Both together, laid out for the write, with a count of the new ones taken by the writing tasks."""
+    seen = Observation()
+    both = kept.withColumn("is_new_row", F.lit(False)).unionByName(new.withColumn("is_new_row", F.lit(True)))
+    placed = both.hint("rebalance", *keys) if keys else both
+    return placed.observe(seen, F.count_if("is_new_row").alias("added")).drop("is_new_row"), seen
 
 
 def _slices(rows: DataFrame, keys: Sequence[str]) -> set[Row]:

@@ -5,7 +5,7 @@ import datetime
 import pytest
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from slicehouse.functions.calendar import batch_parameters, shift_days, with_batch_calendar
 from slicehouse.functions.columns import (
@@ -48,6 +48,14 @@ def test_empty_to_null(spark):
     assert rows_of(empty_to_null(frame.limit(2), target, strict=True)) == kept[:2]
 
 
+def test_empty_to_null_for_fixed_length_targets(spark):
+    frame = spark.createDataFrame([("", "")], "a string, b string")
+    target = StructType()
+    target.add("A", StringType(), True, {"__CHAR_VARCHAR_TYPE_STRING": "char(3)"})
+    target.add("b", StringType(), True, {"__CHAR_VARCHAR_TYPE_STRING": "varchar(3)"})
+    assert rows_of(empty_to_null(frame, target)) == [(None, "")]
+
+
 def test_empty_to_null_leaves_other_types(spark):
     frame = spark.createDataFrame([(0, 1.0, True)], "a int, b double, c boolean")
     assert rows_of(empty_to_null(frame, StructType.fromDDL("a bigint, b double, c boolean"))) == [(0, 1.0, True)]
