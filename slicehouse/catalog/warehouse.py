@@ -6,10 +6,10 @@ import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import StructType
 
 from slicehouse.catalog.tables import day_text, table
-from slicehouse.functions.columns import compact_date, landing_schema
+from slicehouse.functions.columns import compact_date, land, landing_schema, with_comments
 from slicehouse.operators.status import snapshot_batch
 from slicehouse.plans.jobs import ingest_manifest, load_specs, with_layout
 from slicehouse.session import scratch_folder, scratch_name
@@ -127,14 +127,16 @@ def replace_unpartitioned(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def create_if_absent(spark: SparkSession, folder: str) -> DataFrame:
-    """Columns of an ORC table made from the landed schema of the customers, with comments."""
-    source = table(spark, folder, "customer").schema
-    noted = StructType([StructField(field.name, field.dataType, True, {"comment": f"it's {field.name}"}) for field in source])
+    """An ORC table made from the landed schema of the orders, with comments, and filled; shown with a comment read back."""
+    orders = table(spark, folder, "orders").drop("o_totalprice")
+    noted = with_comments(landing_schema(orders.schema), {name: f"it's {name}" for name in orders.columns})
     name = scratch_name(spark, "created")
     for _ in range(2):
-        create_table_if_absent(spark, name, landing_schema(noted), ("pt",), "orc", "customers' slices")
-    rows = [(column.name, column.dataType, column.description, column.isPartition) for column in spark.catalog.listColumns(name)]
-    return spark.createDataFrame(rows, "column_name string, data_type string, description string, is_partition boolean")
+        create_table_if_absent(spark, name, noted, ("pt",), "orc", "orders' slices")
+    overwrite_slice(land(orders), name, pt="20240101")
+    columns = spark.catalog.listColumns(name)
+    notes = ", ".join(f"{column.name} {column.dataType} {column.description or 'slice'}" for column in columns)
+    return spark.table(name).withColumn("notes", F.lit(notes))
 
 
 def partition_gate(spark: SparkSession, folder: str) -> DataFrame:
@@ -233,6 +235,10 @@ WHERE event_type IN ('click', 'view') AND {_DAY} >= '2024-01-15'""",
 WHERE ({_DAY} <> '2024-01-10' OR event_type = 'click') AND NOT ({_DAY} >= '2024-01-20' AND event_type = 'error')""",
     "replace_unpartitioned": """SELECT c_custkey, c_nationkey, CAST(NULL AS VARCHAR) AS data_date FROM customer WHERE c_acctbal >= 5000
 UNION ALL SELECT c_custkey, c_nationkey, '2024-01-01' FROM customer WHERE c_mktsegment = 'BUILDING'""",
+    "create_if_absent": """SELECT o_orderkey, o_custkey, o_orderstatus, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate,
+  o_orderpriority, '20240101' AS pt, 'o_orderkey bigint it''s o_orderkey, o_custkey bigint it''s o_custkey, '
+  || 'o_orderstatus string it''s o_orderstatus, o_orderdate string it''s o_orderdate, '
+  || 'o_orderpriority string it''s o_orderpriority, pt string slice' AS notes FROM orders""",
     "partition_gate": f"""SELECT DISTINCT strftime(o_orderdate + INTERVAL 27 YEAR, '%Y%m%d') AS pt FROM orders
 WHERE strftime(o_orderdate + INTERVAL 27 YEAR, '%Y%m%d') NOT IN (SELECT {_PT} FROM events)""",
     "slice_list": f"SELECT DISTINCT {_PT} AS pt FROM events",

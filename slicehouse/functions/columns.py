@@ -194,6 +194,17 @@ def landing_schema(source: StructType) -> StructType:
     return StructType([landed(field) for field in source])
 
 
+def with_comments(schema: StructType, comments: Mapping[str, str]) -> StructType:
+    """The schema with comments on the columns that are named, whatever their case."""
+    notes = {name.lower(): note for name, note in comments.items()}
+
+    def noted(field: StructField) -> StructField:
+        note = notes.get(field.name.lower())
+        return StructField(field.name, field.dataType, field.nullable, {**field.metadata, "comment": note} if note else field.metadata)
+
+    return StructType([noted(field) for field in schema])
+
+
 def land(rows: DataFrame) -> DataFrame:
     """Cast every column to its landing type."""
     return conform(rows, landing_schema(rows.schema))

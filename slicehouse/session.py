@@ -46,9 +46,8 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not is_single_machine(spark):
         raise ValueError("set spark.checkpoint.dir to a folder which all executors share")
-    folder = tempfile.mkdtemp(prefix="slicehouse-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="slicehouse-"))
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def scratch_folder(spark: SparkSession) -> str:
