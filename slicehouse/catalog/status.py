@@ -112,6 +112,27 @@ def rerun_selection(spark: SparkSession, folder: str) -> DataFrame:
     return ops.select_status(reset, ["ready", "error"]).select("batch", "tid", "status", "update_time", "start_time")
 
 
+def open_batch(spark: SparkSession, folder: str) -> DataFrame:
+    """Short conversations are untouched batches, middling ones are finished, long ones under way; some are yet to be made."""
+    turns = _turns(spark, folder)
+    talks = table(spark, folder, "conversations").groupBy(F.col("conv_id").alias("business_name")).agg(
+        F.count("*").alias("turns"), F.max(F.when(F.col("turn") == 0, F.length("text"))).alias("opening")
+    )
+    none = F.lit(None).cast("string")
+    state = F.when(F.col("turns") <= 3, F.lit("init")).when(F.col("turns") <= 5, F.lit("finish")).otherwise(F.col("status"))
+    instances = turns.join(talks.where(F.col("opening") > 400), "business_name").select(
+        *ops.INSTANCE,
+        "name",
+        state.alias("status"),
+        F.lit("2024-01-01 00:00:00").alias("create_time"),
+        F.lit("2024-01-01 00:00:00").alias("update_time"),
+        none.alias("start_time"),
+        none.alias("finish_time"),
+    )
+    opened = ops.open_batch(instances, turns.select(*ops.TASK, "name"), _turn_edges(spark, folder), "b1", NOW)
+    return opened.drop("batch", "finish_time")
+
+
 QUERIES = {
     "forall_gate": forall_gate,
     "ready_frontier": ready_frontier,
@@ -122,6 +143,7 @@ QUERIES = {
     "batch_completion": batch_completion,
     "status_transition": status_transition,
     "rerun_selection": rerun_selection,
+    "open_batch": open_batch,
 }
 
 _TURNS = """SELECT conv_id AS business_name, turn AS tid, CASE WHEN turn > 0 THEN turn - 1 END AS parent_id, role AS name,
@@ -154,4 +176,15 @@ SELECT batch, tid, coalesce(s, status) AS status, CASE WHEN s IS NULL THEN '2024
     "rerun_selection": f"""WITH i AS (SELECT strftime(o_orderdate, '%Y%m') AS batch, o_orderkey AS tid, {_STATE} AS status FROM orders)
 SELECT batch, tid, 'ready' AS status, CASE WHEN status = 'ready' THEN '2024-01-01 00:00:00' ELSE '{NOW}' END AS update_time,
   CASE WHEN status <> 'ready' THEN '{NOW}' END AS start_time FROM i WHERE status IN ('ready', 'running', 'error')""",
+    "open_batch": f"""WITH t AS ({_TURNS}),
+n AS (SELECT conv_id, count(*) AS turns, max(CASE WHEN turn = 0 THEN length(text) END) > 400 AS made FROM conversations GROUP BY conv_id),
+i AS (SELECT t.*, made, CASE WHEN NOT made OR turns <= 3 THEN 'init' WHEN turns <= 5 THEN 'finish' ELSE status END AS s
+  FROM t JOIN n ON business_name = conv_id),
+b AS (SELECT business_name, bool_and(s = 'finish') AS done, bool_and(s = 'init') AS fresh FROM i GROUP BY business_name),
+x AS (SELECT i.*, fresh AND parent_id IS NULL AS begins, NOT done AND NOT fresh AND s IN ('running', 'error') AS again
+  FROM i JOIN b USING (business_name))
+SELECT business_name, tid, name, CASE WHEN begins OR again THEN 'ready' ELSE s END AS status,
+  CASE WHEN made THEN '2024-01-01 00:00:00' ELSE '{NOW}' END AS create_time,
+  CASE WHEN again OR NOT made THEN '{NOW}' ELSE '2024-01-01 00:00:00' END AS update_time,
+  CASE WHEN begins OR again THEN '{NOW}' END AS start_time FROM x""",
 }

@@ -172,3 +172,24 @@ def batch_states(instances: DataFrame, tasks: DataFrame | None = None) -> DataFr
     holds_up = F.col("has_task") & (F.col("status") != FINISH)
     complete = (~F.bool_or(F.coalesce(holds_up, F.lit(False)))).alias("complete")
     return known.groupBy("business_name", "batch").agg(state, complete)
+
+
+def open_batch(instances: DataFrame, tasks: DataFrame, edges: DataFrame, batch: str, now: str) -> DataFrame:
+    """The instances of one batch, ready for its start, for all businesses that have tasks.
+
+    A business without instances gets one per task. Where all instances are still ``init``, the roots become ``ready``. A batch that was
+    begun gets its ``running`` and ``error`` instances set back to ``ready``. A finished one stays as it is.
+    """
+    present = instances.where(F.col("batch") == batch)
+    absent = tasks.join(present.select("business_name").distinct(), "business_name", "left_anti")
+    current = present.unionByName(snapshot_batch(absent, batch, now))
+    top = edges.where(F.col("parent_id").isNull()).select(*TASK).distinct().withColumn("is_root", F.lit(True))
+    told = current.join(batch_states(current), ["business_name", "batch"]).join(top, TASK, "left")
+    again = (F.col("state") == "rerun") & F.col("status").isin(RUNNING, ERROR)
+    starts = again | ((F.col("state") == "fresh") & F.col("is_root"))
+    new = {
+        "status": F.when(starts, F.lit(READY)).otherwise(F.col("status")),
+        "start_time": F.when(starts, F.lit(now)).otherwise(F.col("start_time")),
+        "update_time": F.when(again, F.lit(now)).otherwise(F.col("update_time")),
+    }
+    return told.select(*[new[name].alias(name) if name in new else F.col(name) for name in instances.columns])

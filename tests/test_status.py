@@ -151,6 +151,35 @@ def test_snapshot_and_definitions(spark):
     assert {row.tid: row.task_name for row in kept.collect()} == {1: "x", 2: None}
 
 
+def test_open_batch(spark, edges):
+    frame = instances(
+        spark,
+        [
+            ("b", "1", 1, "init"),
+            ("b", "1", 2, "init"),
+            ("c", "1", 1, "finish"),
+            ("c", "1", 4, "error"),
+            ("d", "1", 1, "finish"),
+            ("e", "2", 1, "running"),
+        ],
+    )
+    tasks = spark.createDataFrame(
+        [("b", 1, "x"), ("c", 1, "x"), ("d", 1, "x"), ("e", 1, "x"), ("e", 2, "y")], "business_name string, tid bigint, name string"
+    )
+    more = edges.union(spark.createDataFrame([("e", 1, None), ("e", 2, 1)], edges.schema))
+    opened = ops.open_batch(frame, tasks, more, "1", "t1")
+    assert opened.columns == frame.columns
+    assert {(row.business_name, row.tid): (row.status, row.start_time, row.update_time) for row in opened.collect()} == {
+        ("b", 1): ("ready", "t1", "t0"),
+        ("b", 2): ("init", None, "t0"),
+        ("c", 1): ("finish", None, "t0"),
+        ("c", 4): ("ready", "t1", "t1"),
+        ("d", 1): ("finish", None, "t0"),
+        ("e", 1): ("ready", "t1", "t1"),
+        ("e", 2): ("init", None, "t1"),
+    }
+
+
 def test_gate_with_one_huge_member_group(spark):
     items = spark.createDataFrame([(1,), (2,), (3,), (None,)], "k bigint")
     members = spark.range(100_000).select(F.lit(1).cast("bigint").alias("k"), (F.col("id") == 77_777).alias("bad")).union(
