@@ -55,7 +55,7 @@ def look_back(rows: DataFrame, column: str, until: datetime.datetime | datetime.
 def between(rows: DataFrame, column: str, start: object, end: object) -> DataFrame:
     """``start <= column < end``. The bounds take the column's type, so that no cast keeps them from the scan."""
     kind = rows.schema[column].dataType
-    low, high = (F.lit(str(bound)).cast(kind) if not isinstance(kind, StringType) else F.lit(str(bound)) for bound in (start, end))
+    low, high = (F.lit(str(bound)).cast(kind) for bound in (start, end))
     return rows.where((F.col(column) >= low) & (F.col(column) < high))
 
 
@@ -200,7 +200,8 @@ def with_comments(schema: StructType, comments: Mapping[str, str]) -> StructType
 
     def noted(field: StructField) -> StructField:
         note = notes.get(field.name.lower())
-        return StructField(field.name, field.dataType, field.nullable, {**field.metadata, "comment": note} if note else field.metadata)
+        metadata = {**field.metadata, "comment": note} if note else field.metadata
+        return StructField(field.name, field.dataType, field.nullable, metadata)
 
     return StructType([noted(field) for field in schema])
 

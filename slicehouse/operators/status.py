@@ -58,7 +58,8 @@ def roots(instances: DataFrame, edges: DataFrame) -> DataFrame:
 
 def children(instances: DataFrame, edges: DataFrame, parents: DataFrame) -> DataFrame:
     """Instances whose task has one of ``parents`` (business_name, tid) as a parent."""
-    below = edges.join(parents.select("business_name", F.col("tid").alias("parent_id")).distinct(), ["business_name", "parent_id"], "left_semi")
+    wanted = parents.select("business_name", F.col("tid").alias("parent_id")).distinct()
+    below = edges.join(wanted, ["business_name", "parent_id"], "left_semi")
     return instances.join(below.select(*TASK).distinct(), TASK, "left_semi")
 
 
@@ -113,7 +114,7 @@ def transition(
     key = F.concat_ws("/", *INSTANCE)
     status = (
         F.when(F.col("changes") > 1, F.raise_error(F.concat(F.lit("more than one change for instance "), key)))
-        .when(F.col("number").isNull() | (F.col("number") == 0), F.raise_error(F.concat(F.lit("unknown state for instance "), key)))
+        .when(F.coalesce("number", F.lit(0)) == 0, F.raise_error(F.concat(F.lit("unknown state for instance "), key)))
         .otherwise(F.element_at(F.array(*map(F.lit, STATES)), F.col("number").cast("int")))
     )
     single = single.select(*INSTANCE, status.alias("new_status"))
@@ -177,8 +178,8 @@ def batch_states(instances: DataFrame, tasks: DataFrame | None = None) -> DataFr
 def open_batch(instances: DataFrame, tasks: DataFrame, edges: DataFrame, batch: str, now: str) -> DataFrame:
     """The instances of one batch, ready for its start, for all businesses that have tasks.
 
-    A business without instances gets one per task. Where all instances are still ``init``, the roots become ``ready``. A batch that was
-    begun gets its ``running`` and ``error`` instances set back to ``ready``. A finished one stays as it is.
+    A business without instances gets one per task. Where all instances are still ``init``, the roots become ``ready``.
+    A batch that was begun gets its ``running`` and ``error`` instances set back to ``ready``. A finished one stays as it is.
     """
     present = instances.where(F.col("batch") == batch)
     absent = tasks.join(present.select("business_name").distinct(), "business_name", "left_anti")

@@ -145,8 +145,8 @@ def overwrite_slices(
     if not fixed:
         _insert(counted, table, mode="dynamic")
     elif whole_prefix:
-        spec = ", ".join([f"{text.column(key)} = {text.literal(value)}" for key, value in fixed.items()] + [*map(text.column, free)])
-        _insert(counted, table, "static", f"PARTITION ({spec})")
+        given = [f"{text.column(key)} = {text.literal(value)}" for key, value in fixed.items()]
+        _insert(counted, table, "static", f"PARTITION ({', '.join([*given, *map(text.column, free)])})")
     else:
         _insert(counted.withColumns({key: F.lit(value) for key, value in fixed.items()}), table, mode="dynamic")
     return seen.get["rows"]
