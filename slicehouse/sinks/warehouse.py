@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from slicehouse import text
-from slicehouse.functions.columns import align_to, filter_with
+from slicehouse.functions.columns import align_to, conform, filter_with
 from slicehouse.session import scratch_name
 from slicehouse.sources.warehouse import data_schema, partition_columns
 
@@ -160,40 +160,33 @@ def replace_rows(rows: DataFrame, table: str, where: str, params: Mapping[str, o
     """
     spark = rows.sparkSession
     keys = partition_columns(spark, table)
-    target = [*data_schema(spark, table).fieldNames(), *keys]
-    old = spark.table(table)
-    new = align_to(rows, target)
-    doomed = filter_with(old, where, params)
+    target = StructType([*data_schema(spark, table), *[spark.table(table).schema[key] for key in keys]])
+    old = spark.table(table).select(*map(text.column, target.fieldNames()))
     kept = filter_with(old, f"NOT coalesce(({where}), false)", params)
-
-    if not keys:  # One folder: a table cannot be overwritten while it is read, so the result is written aside first.
-        aside = scratch_name(spark, "replace")
-        merged, seen = _merged(kept.select(*target), new, keys)
-        merged.write.format("parquet").saveAsTable(aside)
-        _insert(spark.table(aside).select(*target), table, mode="static")
-        spark.sql(f"DROP TABLE {text.name(aside)}")
-        return seen.get["added"]
-
-    # The catalog holds one entry per slice on the driver anyway, so these lists are no larger than what it has.
-    losing = _slices(doomed, keys)
-    gaining = _slices(new, keys)
-    staying = _slices(kept.where(_in_slices(losing, keys)), keys) if losing else set()
-    added = 0
-    if gaining or staying:
-        merged, seen = _merged(kept.where(_in_slices(losing | gaining, keys)).select(*target), new, keys)
-        _insert(merged, table, mode="dynamic")
-        added = seen.get["added"]
-    for emptied in losing - gaining - staying:
-        _empty_slice(spark, table, emptied.asDict())
-    return added
-
-
-def _merged(kept: DataFrame, new: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Observation]:
-    """Both together, laid out for the write, with a count of the new ones taken by the writing tasks."""
-    seen = Observation()
-    both = kept.withColumn("is_new_row", F.lit(False)).unionByName(new.withColumn("is_new_row", F.lit(True)))
-    placed = both.hint("rebalance", *keys) if keys else both
-    return placed.observe(seen, F.count_if("is_new_row").alias("added")).drop("is_new_row"), seen
+    added, seen = _counted(conform(rows, target))
+    aside, result = scratch_name(spark, "added"), scratch_name(spark, "result")
+    try:
+        # The new rows are written first: were they computed again later with other slices, those would lose what they had.
+        added.write.format("parquet").saveAsTable(aside)
+        new = spark.table(aside)
+        if not keys:  # One folder: a table cannot be overwritten while it is read.
+            kept.unionByName(new).write.format("parquet").saveAsTable(result)
+            _insert(spark.table(result), table, mode="static")
+            return seen.get["rows"]
+
+        # The catalog holds one entry per slice on the driver anyway, so these lists are no larger than what it has.
+        gaining = _slices(new, keys)
+        losing = _slices(filter_with(old, where, params), keys)
+        staying = _slices(kept.where(_in_slices(losing, keys)), keys) if losing else set()
+        if gaining or staying:
+            merged = kept.where(_in_slices(losing | gaining, keys)).unionByName(new)
+            _insert(merged.hint("rebalance", *keys), table, mode="dynamic")
+        for emptied in losing - gaining - staying:
+            _empty_slice(spark, table, emptied.asDict())
+        return seen.get["rows"]
+    finally:
+        for made in (aside, result):
+            spark.sql(f"DROP TABLE IF EXISTS {text.name(made)}")
 
 
 def _slices(rows: DataFrame, keys: Sequence[str]) -> set[Row]:

@@ -174,6 +174,20 @@ def test_replace_rows_unpartitioned(spark):
     for _ in range(2):
         assert replace_rows(people(spark, 2, 9), name, "id IN (2, 3, 9)") == 2
         assert content(spark, name) == [(1, "n1"), (2, "n2"), (9, "n9")]
+    assert replace_rows(people(spark).limit(0), name, "id = 9") == 0
+    assert content(spark, name) == [(1, "n1"), (2, "n2")]
+    assert [table.name for table in spark.catalog.listTables(name.split(".")[0]) if table.name[:6] in ("added_", "result")] == []
+
+
+def test_replace_rows_takes_unsteady_rows_once(spark):
+    """New rows that come out differently each time must not cost a slice its old rows."""
+    name = new_table(spark, "id int", ("pt",))
+    overwrite_slices(spark.createDataFrame([(i, str(i % 10)) for i in range(100)], "id int, pt string"), name)
+    for seed in range(3):
+        unsteady = spark.range(2).select(F.lit(1000 + seed).alias("id"), F.floor(F.rand() * 10).cast("string").alias("pt"))
+        assert replace_rows(unsteady, name, f"id = {1000 + seed}") == 2
+    assert spark.table(name).where("id < 1000").count() == 100
+    assert spark.table(name).count() == 106
 
 
 def test_full_overwrite_and_append(spark):
