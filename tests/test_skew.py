@@ -1,0 +1,102 @@
+"""One key holds a third of all rows or more: the join that meets it is split over tasks, and the result stays whole."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from slicehouse.operators import status as ops
+from slicehouse.operators.funnel import Stage, stage_funnel
+from slicehouse.operators.units import unit_rows
+
+SETTINGS = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8KB",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+}
+
+
+@pytest.fixture
+def small_partitions(spark):
+    """Sizes at which a test's rows are as large to Spark as those of a cluster."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    yield
+    for key in SETTINGS:
+        spark.conf.unset(key)
+
+
+def final_plan(frame):
+    return frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def numbers(spark, n):
+    return spark.range(0, n, 1, 8)
+
+
+def test_one_vin_has_most_vehicles(spark, small_partitions):
+    vehicles = numbers(spark, 60_000).select(
+        F.col("id").alias("tm_vhc_vehicle_id"),
+        F.when(F.col("id") % 3 < 2, F.lit("hot")).otherwise(F.concat(F.lit("v"), F.col("id").cast("string"))).alias("vin"),
+    )
+    orders = numbers(spark, 60_000).select(
+        F.lit("M1").alias("product"),
+        F.lit("T1").alias("order_type"),
+        F.when(F.col("id") % 3 < 2, F.lit("hot")).otherwise(F.concat(F.lit("v"), F.col("id").cast("string"))).alias("vin"),
+        F.lit("OR").alias("order_no"),
+        F.lit("1500").alias("model_plant"),
+    )
+    codes = spark.createDataFrame([("T1", 1)], "code_value string, tc_sys_code_type_id bigint")
+    types = spark.createDataFrame([(1, "Key_OrderType")], "tc_sys_code_type_id bigint, code_type string")
+    master = unit_rows(orders, vehicles, codes, types, "1500", {5: ["M1"]})
+    rows = master.collect()  # 40,000 orders and as many vehicles of one vin would be 1.6 billion pairs
+    assert len(rows) == 60_000
+    assert "skew=true" in final_plan(master)
+
+
+def test_one_parent_has_most_children(spark, small_partitions):
+    edges = numbers(spark, 60_000).select(
+        F.lit("b").alias("business_name"),
+        F.col("id").alias("tid"),
+        F.when(F.col("id") == 0, None).when(F.col("id") % 3 < 2, F.lit(0)).otherwise(F.col("id") - 1).cast("bigint").alias("parent_id"),
+    )
+    instances = numbers(spark, 60_000).select(
+        F.lit("b").alias("business_name"),
+        F.when(F.col("id") >= 0, F.lit("1")).alias("batch"),
+        F.col("id").alias("tid"),
+        F.when(F.col("id") == 0, F.lit("running")).when(F.col("id") % 3 == 1, F.lit("finish")).otherwise(F.lit("init")).alias("status"),
+    )
+    frontier = ops.ready_frontier(instances, edges)
+    rows = frontier.collect()
+    # Children of task 0 wait for it; the other third has a finished task before it.
+    assert {row.tid for row in rows} == set(range(2, 60_000, 3))
+    assert "skew=true" in final_plan(frontier)
+
+
+def test_one_unit_has_most_report_values(spark, small_partitions):
+    """A report column that varies within a unit: most of its values belong to one unit."""
+    stages = (Stage("a", 1, (2,)),)
+    rows = numbers(spark, 60_000).select(
+        F.col("id").cast("string").alias("platform"),
+        F.lit("p").alias("product"),
+        F.when(F.col("id") % 3 < 2, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("vin"),
+        F.lit(1).alias("station"),
+    )
+    stuck = stage_funnel(rows, stages, "station")
+    assert stuck.count() == 60_000
+    later = spark.createDataFrame([("x", "p", "hot", 2)], rows.schema)
+    reached = rows.unionByName(later)
+    report = stage_funnel(reached, stages, "station")
+    assert len(report.collect()) == 20_000
+    assert "skew=true" in final_plan(report)
+
+
+def test_one_order_has_most_lines(spark, small_partitions):
+    lines = numbers(spark, 90_000).select(
+        F.when(F.col("id") % 3 < 2, F.lit(7)).otherwise(F.col("id")).cast("bigint").alias("k"), (F.col("id") % 2 == 0).alias("bad")
+    )
+    items = numbers(spark, 90_000).select(F.col("id").alias("k"))
+    passed = ops.forall_gate(items, lines, ["k"], F.col("bad"))
+    bad = {7} | {i for i in range(90_000) if i % 3 == 2 and i % 2 == 0}
+    assert passed.count() == 90_000 - len(bad)
