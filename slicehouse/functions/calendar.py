@@ -29,13 +29,16 @@ def calendar_columns(moment: Column, with_time: bool = False, now: datetime.date
     speak of the time of the run.
     """
     day = moment.cast("date")
+    wall = moment.cast("timestamp_ntz")
+    # The text of a zone-less timestamp is the same in every time zone; a format would go through the session's zone.
+    digits = F.translate(wall.cast("string"), "- :", "")
     month = F.trunc(day, "MM")
     before = F.date_sub(month, 1)
     last_month = F.add_months(month, -1)
 
     columns = {
-        "pt_min": F.date_format(moment, "yyyyMMddHHmm"),
-        "pt_hour": F.date_format(moment, "yyyyMMddHH"),
+        "pt_min": F.substring(digits, 1, 12),
+        "pt_hour": F.substring(digits, 1, 10),
         "pt": F.date_format(day, SLICE),
         "pt_month": F.date_format(day, "yyyyMM"),
         "pt_mon01": F.date_format(month, SLICE),
@@ -59,8 +62,8 @@ def calendar_columns(moment: Column, with_time: bool = False, now: datetime.date
     for months in MONTHS_AGO:
         columns[f"data_date01_{months}month_ago"] = F.date_format(F.add_months(month, -months), DASHED)
     if with_time:
-        later = moment.cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(90))
-        columns["date_90min_later"] = F.date_format(later, "yyyy-MM-dd HH:mm:ss")
+        later = wall + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(90))
+        columns["date_90min_later"] = F.substring(later.cast("string"), 1, 19)
     if now is not None:
         columns |= {
             "pt_sys": F.lit(f"{now:%Y%m%d}"),

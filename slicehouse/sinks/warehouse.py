@@ -84,7 +84,11 @@ def append_rows(rows: DataFrame, table: str) -> int:
 
 
 def overwrite_table(rows: DataFrame, table: str) -> int:
-    """Replace all rows of an unpartitioned table."""
+    """Replace all rows of an unpartitioned table.
+
+    Spark removes the old files before the job starts, so a job that fails has to be run again. Where readers need the old rows
+    until then, give the table a slice.
+    """
     spark = rows.sparkSession
     _require_partitions(spark, table, [])
     rows, seen = _counted(align_to(rows, data_schema(spark, table)))

@@ -158,6 +158,17 @@ def test_calendar_of_a_batch(spark):
         batch_parameters(spark, "2019-11-26")
 
 
+def test_calendar_in_a_zone_that_skips_the_hour(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        frame = spark.createDataFrame([(datetime.datetime(2024, 3, 10, 2, 30, 1),)], "at timestamp_ntz")
+        got = with_batch_calendar(frame, "at", ["pt_min", "pt_hour", "pt", "date_90min_later"], with_time=True).first()
+        assert tuple(got)[1:] == ("202403100230", "2024031002", "20240310", "2024-03-10 04:00:01")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_calendar_at_month_ends(spark):
     days = spark.sql("SELECT explode(sequence(date'2023-12-30', date'2024-03-31')) d")
     got = with_batch_calendar(days, "d", ["data_date_mon31", "data_date_lastmon31", "data_date01_3month_ago"])
