@@ -9,9 +9,9 @@ from pyspark import cloudpickle
 # Tasks get the package's functions with the job, so that executors need no copy of it.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-from slicehouse.llm import decontaminate, exact_dedup  # noqa: E402
+from slicehouse.llm import decontaminate, exact_dedup, simhash  # noqa: E402
 
-MODULES = (exact_dedup, decontaminate)
+MODULES = (exact_dedup, simhash, decontaminate)
 
 
 def queries() -> dict:
