@@ -9,9 +9,17 @@ from pyspark import cloudpickle
 # Tasks get the package's functions with the job, so that executors need no copy of it.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-from slicehouse.llm import decontaminate, exact_dedup, packing, quality, simhash  # noqa: E402
-
-MODULES = (packing, exact_dedup, quality, simhash, decontaminate)
+from slicehouse.llm import (  # noqa: E402
+    decontaminate,
+    exact_dedup,
+    packing,
+    preference,
+    quality,
+    simhash,
+    url_filter,
+)
+
+MODULES = (packing, exact_dedup, quality, simhash, url_filter, preference, decontaminate)
 
 
 def queries() -> dict:
