@@ -12,14 +12,16 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 from slicehouse.llm import (  # noqa: E402
     decontaminate,
     exact_dedup,
+    html_extract,
     packing,
     preference,
     quality,
     simhash,
+    token_counts,
     url_filter,
 )
 
-MODULES = (packing, exact_dedup, quality, simhash, url_filter, preference, decontaminate)
+MODULES = (packing, token_counts, exact_dedup, quality, html_extract, simhash, url_filter, preference, decontaminate)
 
 
 def queries() -> dict:

@@ -34,13 +34,14 @@ class Encoder:
     tokens of the other side. So a text is cut there and each part encoded by the tokenizer once, as long as the cache holds it.
     """
 
-    def __init__(self, vocabulary: str = VOCABULARY, width: int = 4, cached: int = CACHED_PARTS):
+    def __init__(self, vocabulary: str = VOCABULARY, width: int = 4, cached: int = CACHED_PARTS, plain_specials: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import public_tokenizers
         from tokenizers import Tokenizer
 
         path = vocabulary if os.path.sep in vocabulary else public_tokenizers.path(vocabulary)
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = plain_specials  # then the text never makes a special token
         self.width, self.cached, self.parts = width, cached, {}
 
     def _learn(self, parts: list[str]) -> None:
