@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from slicehouse.llm.common import persisted, read_table, small_batches, text_of
-from slicehouse.llm.tokens import VOCABULARY, Encoder
+from slicehouse.llm.tokens import CACHED_PARTS, VOCABULARY, worker_encoder
 
 BLOCK_TOKENS = 1 << 16
 SPAN = 1024
@@ -32,7 +32,7 @@ def flat_files(docs: DataFrame, text: str = "text", vocabulary: str = VOCABULARY
     """
 
     def write(batches: Iterator[pa.RecordBatch]):
-        encoder = Encoder(vocabulary, width=2, plain_specials=True)
+        encoder = worker_encoder(vocabulary, 2, CACHED_PARTS, True)
         end, size = end_id.to_bytes(2, "little"), 2 * block_tokens
         file, block, held = TaskContext.get().partitionId(), 0, bytearray()
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import sys
 from collections.abc import Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +44,7 @@ class Encoder:
         path = vocabulary if os.path.sep in vocabulary else public_tokenizers.path(vocabulary)
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = plain_specials  # then the text never makes a special token
-        self.width, self.cached, self.parts = width, cached, {}
+        self.width, self.cached, self.parts, self.before = width, cached, {}, {}
 
     def _learn(self, parts: list[str]) -> None:
         """Encode parts of texts. Signs behind a letter are tokens of their own, so a word with and without them is encoded once."""
@@ -82,13 +84,24 @@ class Encoder:
             parts = piece.replace("\n", " ").split(" ")
             start = stop
             if missing := [part for part in set(parts) if part not in self.parts]:
-                if len(self.parts) + len(missing) > self.cached:
-                    self.parts = {}
+                if len(self.parts) + len(missing) > self.cached // 2:
+                    # What is not asked for while another half fills up is forgotten.
+                    self.before, self.parts = self.parts, {}
                     missing = list(set(parts))
-                self._learn(missing)
+                self.parts.update((part, self.before[part]) for part in missing if part in self.before)
+                if missing := [part for part in missing if part not in self.parts]:
+                    self._learn(missing)
             yield b"".join(map(self.parts.__getitem__, parts))
 
 
+def worker_encoder(*settings) -> Encoder:
+    """The Python worker's own encoder of these settings, whose cache lasts from task to task."""
+    kept = sys.modules.setdefault("encoders of this worker", ModuleType("encoders of this worker"))
+    if getattr(kept, "settings", None) != settings:
+        kept.settings, kept.encoder = settings, Encoder(*settings)
+    return kept.encoder
+
+
 def token_rows(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     return docs.select(quoted(id).alias("doc_id"), text_of(text).alias("text"))
 
@@ -103,7 +116,7 @@ def cut_documents(docs: DataFrame, size: int, id: str = "doc_id", text: str = "t
     rows = token_rows(docs, id, text)
 
     def work(batches: Iterator[pa.RecordBatch]):
-        encoder = Encoder(vocabulary)
+        encoder = worker_encoder(vocabulary)
         end, step = end_id.to_bytes(4, "little"), 4 * size
         for batch in small_batches(batches, 256):
             out: list[list] = [[], [], [], [], []]
