@@ -17,11 +17,12 @@ from slicehouse.llm import (  # noqa: E402
     preference,
     quality,
     simhash,
+    suffix_dedup,
     token_counts,
     url_filter,
 )
 
-MODULES = (packing, token_counts, exact_dedup, quality, html_extract, simhash, url_filter, preference, decontaminate)
+MODULES = (packing, token_counts, exact_dedup, quality, html_extract, simhash, suffix_dedup, url_filter, preference, decontaminate)
 
 
 def queries() -> dict:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -44,3 +45,9 @@ def small_batches(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterato
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of steps whose results have been written and that nothing refers to any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
