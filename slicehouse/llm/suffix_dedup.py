@@ -314,9 +314,12 @@ QUERIES = {"op9_suffix_dedup": op9_suffix_dedup}
 ORACLES = {
     "op9_suffix_dedup": f"""
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+pieces AS (
+  SELECT doc_id, j, substring(h, 2 * j + 1, 2 * {500 + LENGTH - 1}) AS p
+  FROM d, unnest(range(0, length(h) // 2 - {LENGTH - 1}, 500)) AS t(j)),
 s AS (
-  SELECT doc_id, i, substring(h, 2 * i + 1, {2 * LENGTH}) AS w
-  FROM d, unnest(range(0, length(h) // 2 - {LENGTH - 1})) AS t(i)),
+  SELECT doc_id, i + j AS i, substring(p, 2 * i + 1, {2 * LENGTH}) AS w
+  FROM pieces, unnest(range(0, length(p) // 2 - {LENGTH - 1})) AS t(i)),
 r AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY w) AS least FROM s) WHERE least < doc_id),
 g AS (
   SELECT doc_id, i, coalesce(i - lag(i) OVER p > {LENGTH}, true) AS new FROM r WINDOW p AS (PARTITION BY doc_id ORDER BY i)),
