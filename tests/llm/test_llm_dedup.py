@@ -1,0 +1,232 @@
+"""Exact copies, near copies and repeated strings against brute force, and on awkward tables."""
+
+import collections
+import hashlib
+import random
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from slicehouse.llm.components import connected_components
+from slicehouse.llm.exact_dedup import exact_dedup, exact_groups
+from slicehouse.llm.simhash import BLOCK_PAIRS, GrayIndex, drop_near_copies, near_groups, near_links, simhash
+from slicehouse.llm.suffix_dedup import least_ranks, remove_repeats
+from slicehouse.llm.suffix_order import suffix_order
+
+DOCS = "doc_id bigint, text string, lang string, kept boolean, group_size int"
+
+
+def docs(spark, rows):
+    return spark.createDataFrame([(i, text, "xx", None, 7) for i, text in rows], DOCS)
+
+
+def words(rng, n):
+    return " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7))) for _ in range(n))
+
+
+# Exact copies
+
+
+def test_exact_groups_with_nulls_ties_and_a_hot_group(spark):
+    rows = [(i, "hot") for i in range(300)] + [(1000, None), (1001, ""), (1002, "x" * 300_000), (None, "hot"), (None, "only"), (7, "twice"), (7, "twice")]
+    got = exact_groups(docs(spark, rows), support=0.1).collect()
+    assert len(got) == len(rows)
+    by_text = collections.defaultdict(list)
+    for row in got:
+        by_text[row.text_sha256].append(row)
+    for text in {text or "" for _, text in rows}:
+        own = [i for i, other in rows if (other or "") == text]
+        group = by_text[hashlib.sha256(text.encode()).hexdigest()]
+        assert len(group) == len(own)
+        best = max([i for i in own if i is not None], default=None)
+        assert {(row.keep_id, row.group_size) for row in group} == {(best, len(own))}
+        assert [row.doc_id for row in group if row.kept] == [best]
+
+
+@pytest.mark.parametrize("support", [0.01, 0.5])
+def test_exact_dedup_keeps_columns_and_one_row_of_each_text(spark, support):
+    rows = [(i, f"t{i % 7}") for i in range(70)] + [(5, "t5"), (None, "n"), (None, "n"), (3, None), (4, "")]
+    got = exact_dedup(docs(spark, rows), support=support)
+    assert got.columns == ["doc_id", "text", "lang", "kept", "group_size"]
+    kept = got.collect()
+    assert collections.Counter((row.doc_id, row.text) for row in kept) == collections.Counter(
+        [(63 + i, f"t{i}") for i in range(7)] + [(None, "n"), (4, "")]
+    )
+    assert {(row.lang, row.group_size) for row in kept} == {("xx", 7)}
+
+
+def test_exact_on_an_empty_table(spark):
+    assert exact_groups(docs(spark, [])).count() == 0
+    assert exact_dedup(docs(spark, [])).count() == 0
+
+
+# Near copies
+
+
+def plain_simhash(text):
+    found = (text or "").encode().lower().split()
+    shingles = [b" ".join(found[i : i + 3]) for i in range(len(found) - 2)] or ([b" ".join(found)] if found else [])
+    counts = [0] * 64
+    for shingle in shingles:
+        value = xxhash.xxh64_intdigest(shingle, 42)
+        for bit in range(64):
+            counts[bit] += value >> bit & 1
+    return sum(1 << bit for bit in range(64) if 2 * counts[bit] > len(shingles))
+
+
+def test_simhash_of_whole_texts(monkeypatch):
+    import slicehouse.llm.simhash as module
+
+    rng = random.Random(3)
+    texts = [None, "", " \n", "One", "Two words", "A b C", "É É É é", "a a a a a", "x" * 5000 + " y", *(words(rng, n) for n in (3, 4, 50, 400))]
+    for piece in (1 << 20, 16, 1):
+        monkeypatch.setattr(module, "_PIECE", piece)
+        assert [simhash(text) for text in texts] == [plain_simhash(text) for text in texts]
+
+
+def planted_fingerprints(rng):
+    found = {0, 1, 3, (1 << 64) - 1}
+    for _ in range(40):
+        centre = rng.getrandbits(64)
+        found.add(centre)
+        for _ in range(rng.randint(0, 12)):
+            value = centre
+            for bit in rng.sample(range(64), rng.randint(1, 4)):
+                value ^= 1 << bit
+            found.add(value)
+    return sorted(found)
+
+
+def plain_components(values):
+    root = {value: value for value in values}
+
+    def find(value):
+        while root[value] != value:
+            value = root[value]
+        return value
+
+    for at, a in enumerate(values):
+        for b in values[at + 1 :]:
+            if (a ^ b).bit_count() <= 2:
+                low, high = sorted((find(a), find(b)))
+                root[high] = low
+    groups = collections.defaultdict(set)
+    for value in values:
+        groups[find(value)].add(value)
+    return {frozenset(group) for group in groups.values() if len(group) > 1}
+
+
+@pytest.mark.parametrize("hot_key", [200_000, 1])
+def test_links_connect_what_brute_force_connects(spark, hot_key):
+    values = planted_fingerprints(random.Random(5))
+    signed = lambda value: value - (1 << 64) if value >> 63 else value
+    frame = spark.createDataFrame([(signed(value),) for value in values], "fp bigint")
+    rows = connected_components(near_links(frame, hot_key)).collect()
+    groups = collections.defaultdict(set)
+    for row in rows:
+        groups[row.root].add(row.node % (1 << 64))
+    assert {frozenset(group) for group in groups.values()} == plain_components(values)
+
+
+def test_index_finds_all_pairs_of_a_large_key():
+    rng = np.random.default_rng(1)
+    bits = np.unique(rng.integers(0, 1 << 12, 900).astype(np.uint64) << np.uint64(7))
+    rank = bits.copy()
+    for shift in (1, 2, 4, 8, 16, 32):
+        rank ^= rank >> np.uint64(shift)
+    bits = bits[np.argsort(rank)]
+    a, b = GrayIndex(np.zeros(len(bits), np.int64), bits).search(np.arange(len(bits)), 2)
+    near = np.bitwise_count(bits[:, None] ^ bits[None, :]) <= 2
+    assert set(zip(a.tolist(), b.tolist())) == set(zip(*(side.tolist() for side in np.nonzero(np.triu(near, 1)))))
+    assert len(BLOCK_PAIRS) == 6
+
+
+def test_near_groups_and_their_survivors(spark):
+    rng = random.Random(8)
+    base = words(rng, 4000)
+    near = base + " tail"
+    assert 0 < (simhash(base) ^ simhash(near)).bit_count() <= 2 or simhash(base) == simhash(near)
+    rows = [(9, base), (4, near), (6, base), (None, base), (2, None), (1, ""), (3, " "), (8, words(rng, 300)), (8, words(rng, 300))]
+    got = near_groups(docs(spark, rows)).collect()
+    names = {row.doc_id: row.component_id for row in got if row.doc_id != 8}
+    assert len(got) == len(rows)
+    assert (names[9], names[4], names[6], names[None]) == (4, 4, 4, 4)
+    assert (names[1], names[2], names[3]) == (1, 1, 1)
+    left = drop_near_copies(docs(spark, rows))
+    assert left.columns == ["doc_id", "text", "lang", "kept", "group_size"]
+    assert collections.Counter(row.doc_id for row in left.collect()) == collections.Counter([4, 1, None, 8, 8])
+    assert near_groups(docs(spark, [])).count() == 0
+
+
+def test_components_of_a_long_chain_and_a_star(spark):
+    edges = [(i, i + 1) for i in range(60)] + [(1000, 1000 + i) for i in range(50)] + [(5, 5), (3, 2)]
+    frame = spark.createDataFrame(edges, "u bigint, v bigint")
+    roots = {row.node: row.root for row in connected_components(frame).collect()}
+    assert roots == {**dict.fromkeys(range(61), 0), **dict.fromkeys(range(1000, 1050), 1000)}
+
+
+# Repeated strings
+
+
+def test_suffix_order_by_brute_force():
+    rng = random.Random(1)
+    for _ in range(150):
+        text = np.array([rng.randint(0, rng.choice([1, 2, 5, 250])) for _ in range(rng.randint(1, 100))] * rng.choice([1, 1, 3]), np.uint16)
+        cap, memory = rng.choice([3, 5, 50]), rng.choice([1, 100, 1 << 20])
+        order, common = suffix_order(text, cap, memory)
+        heads = [tuple(text[at : at + cap].tolist()) for at in order]
+        assert sorted(order.tolist()) == list(range(len(text)))
+        assert heads == sorted(heads)
+        for a, b, shared in zip(heads, heads[1:], common[1:].tolist()):
+            assert shared == next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+
+
+def test_least_ranks_within_a_shard():
+    a = bytes(range(60, 120))
+    found = least_ranks([a, a[5:], b"z" * 70], np.array([5, 2, 9]))
+    assert found == [[(0, 5, 5), (5, 11, 2)], [(0, 6, 2)], [(0, 21, 9)]]
+
+
+def plain_removal(rows, length=50):
+    first = {}
+    for i, text in rows:
+        data = (text or "").encode()
+        for at in range(len(data) - length + 1):
+            piece = data[at : at + length]
+            first[piece] = min(first.get(piece, 1 << 63), i if i is not None else 1 << 62)
+    out = []
+    for i, text in rows:
+        data, rank = (text or "").encode(), i if i is not None else 1 << 62
+        gone = bytearray(len(data))
+        for at in range(len(data) - length + 1):
+            if first[data[at : at + length]] < rank:
+                gone[at : at + length] = b"\1" * length
+        rest = bytes(byte for byte, cut in zip(data, gone) if not cut)
+        spans = sum(1 for at, cut in enumerate(gone) if cut and not (at and gone[at - 1]))
+        out.append((i, len(data), sum(gone), spans, hashlib.sha256(rest).hexdigest(), rest))
+    return collections.Counter(out)
+
+
+def test_repeats_by_brute_force(spark, monkeypatch):
+    import slicehouse.llm.suffix_dedup as module
+
+    monkeypatch.setattr(module, "_PIECE", 300)
+    monkeypatch.setattr(module, "_RUN", 40)
+    rng = random.Random(4)
+    passage, other = words(rng, 30), words(rng, 12) + " é€😀 " + words(rng, 8)
+    rows = [(i, words(rng, 5) + (passage if i % 3 else other) + words(rng, rng.randint(0, 40)) + passage[: rng.randint(0, 80)]) for i in range(40)]
+    rows += [(100 + i, rows[3][1]) for i in range(20)]  # copies
+    rows += [(200, "a" * 500), (201, "a" * 300), (202, "ab" * 200), (203, "b" + "ab" * 100), (204, None), (205, ""), (206, "x" * 49), (207, "x" * 49), (208, "x" * 50), (209, "x" * 51)]
+    rows += [(None, passage), (None, other), (7, rows[7][1]), (7, words(rng, 20) + passage), (300, passage + passage)]
+    rng.shuffle(rows)
+    got = remove_repeats(docs(spark, rows)).collect()
+    assert collections.Counter((*row[:5], bytes(row.kept)) for row in got) == plain_removal(rows)
+
+
+def test_repeats_of_an_empty_table_and_of_plain_rows(spark):
+    assert remove_repeats(docs(spark, [])).count() == 0
+    got = remove_repeats(docs(spark, [(1, "short"), (2, None)]), with_text=False)
+    assert got.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    assert {(row.doc_id, row.n_removed) for row in got.collect()} == {(1, 0), (2, 0)}
