@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -19,7 +20,7 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def persisted(frame: DataFrame) -> DataFrame:
     """The rows, written to the shared folder and read again: a cut in the lineage that outlives any executor."""
     folder = scratch_folder(frame.sparkSession)
-    frame.write.parquet(f"{folder}/rows")
+    frame.write.option("compression", "zstd").parquet(f"{folder}/rows")
     return frame.sparkSession.read.schema(frame.schema).parquet(f"{folder}/rows")
 
 
@@ -49,5 +50,7 @@ def small_batches(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterato
 
 def free_shuffles(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of steps whose results have been written and that nothing refers to any more."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # Python's references to the JVM's objects go a moment after Python's own
+        gc.collect()
+        time.sleep(0.3)
+        spark.sparkContext._jvm.System.gc()

@@ -33,6 +33,7 @@ _BASE = 0x100000001B3
 _PIECE = 1 << 20
 _RUN = 1024
 _SHARD = 2 << 20
+_REMEMBERED = 500_000
 _NO_ID = (1 << 63) - 1
 
 
@@ -136,14 +137,20 @@ def shared_anchors(texts: DataFrame, frequent) -> DataFrame:
 
 
 def segments(texts: DataFrame, shared: DataFrame, frequent) -> DataFrame:
-    """The strings whose anchors other texts have, as segments: anchor, segment (a digest), row, rank, start, bytes."""
+    """The strings whose anchors other texts have, as segments: anchor, segment (a digest), row, rank, start, bytes.
+
+    A task gives the bytes of a segment that it has met before as null, as far as it remembers.
+    """
 
     def cut(batches: Iterator[pa.RecordBatch]):
         names = ["anchor", "segment", "row", "rank", "start", "bytes"]
         types = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+        met: set[bytes] = set()
         for batch in small_batches(batches, 128):
             columns: list[list] = [[] for _ in names]
-            for row, rank, text, own in zip(*batch.columns):
+            if len(met) > _REMEMBERED:
+                met.clear()
+            for row, rank, text, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3)):
                 data, known = _bytes(text), own.values.to_numpy() if own.is_valid else np.zeros(0, np.int64)
                 for base, found in anchored_pieces(data):
                     found = found.view(np.int64)
@@ -153,7 +160,12 @@ def segments(texts: DataFrame, shared: DataFrame, frequent) -> DataFrame:
                     for start, stop, anchor in zip(starts[hit].tolist(), stops[hit].tolist(), found[starts[hit]].tolist()):
                         for begin in range(start, stop, _RUN):
                             piece = data[base + begin : base + min(begin + _RUN, stop) + LENGTH - 1]
-                            for column, value in zip(columns, (anchor, xxhash.xxh3_128_digest(piece), row.as_py(), rank.as_py(), base + begin, piece)):
+                            digest = xxhash.xxh3_128_digest(piece)
+                            if digest in met:
+                                piece = None
+                            else:
+                                met.add(digest)
+                            for column, value in zip(columns, (anchor, digest, row, rank, base + begin, piece)):
                                 column.append(value)
                 if len(columns[0]) > 100_000:
                     yield pa.RecordBatch.from_arrays([pa.array(column, kind) for column, kind in zip(columns, types)], names)
@@ -190,7 +202,7 @@ def least_ranks(contents: list[bytes], ranks: np.ndarray) -> list[list[tuple[int
 
 def solved(parts: DataFrame) -> DataFrame:
     """One row (segment, runs) for each different segment that has strings of texts with other ranks."""
-    distinct = parts.groupBy("anchor", "segment").agg(F.min("rank").alias("rank"), F.first("bytes").alias("bytes"))
+    distinct = parts.groupBy("anchor", "segment").agg(F.min("rank").alias("rank"), F.first("bytes", ignorenulls=True).alias("bytes"))
     dealt = distinct.repartition(parallelism(parts), "anchor").sortWithinPartitions("anchor")
     runs = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("least", pa.int64())]))
 

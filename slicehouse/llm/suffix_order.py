@@ -83,16 +83,19 @@ def common_prefix(text: np.ndarray, a: np.ndarray, b: np.ndarray, cap: int) -> n
     return found
 
 
-def _ranks(keys: list[np.ndarray]) -> tuple[np.ndarray, int]:
-    """Equal rows get equal ranks, from 1; keys by falling weight. And the number of different rows."""
-    order = np.lexsort(keys[::-1])
-    new = np.zeros(len(order), bool)
-    for key in keys:
-        ordered = key[order]
-        new[1:] |= ordered[1:] != ordered[:-1]
+def _ranks(keys: np.ndarray) -> tuple[np.ndarray, int]:
+    """The ranks of keys, from 1, equal ones for equal keys; and the number of different keys."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    new = np.concatenate(([True], ordered[1:] != ordered[:-1]))
     ranks = np.empty(len(order), np.int64)
-    ranks[order] = np.cumsum(new) + 1
-    return ranks, int(new.sum()) + 1
+    ranks[order] = np.cumsum(new)
+    return ranks, int(new.sum())
+
+
+def _pair_ranks(first: np.ndarray, second: np.ndarray, below: int) -> tuple[np.ndarray, int]:
+    """Ranks by the first key and then by the second one, which is less than ``below``."""
+    return _ranks(first * below + second)
 
 
 def star_order(text: np.ndarray, is_s: np.ndarray, cap: int) -> np.ndarray:
@@ -104,17 +107,18 @@ def star_order(text: np.ndarray, is_s: np.ndarray, cap: int) -> np.ndarray:
     coded = np.concatenate((text.astype(np.int64) * 2 + is_s + 1, np.zeros(8, np.int64)))
     bits = int(coded.max()).bit_length()
     step = 62 // bits
-    names, different = np.ones(len(stars), np.int64), 1
+    names, different = None, 0
     for first in range(0, min(int((stop - stars).max()), cap), step):
         key = np.zeros(len(stars), np.int64)
         for place in range(first, first + step):
             at = stars + place
             key = (key << bits) | np.where(at < stop, coded[np.minimum(at, len(text))], 0)
-        names, different = _ranks([names, key])
+        ranks, count = _ranks(key)
+        names, different = (ranks, count) if names is None else _pair_ranks(names, ranks, count + 1)
     reach = 1
     while different < len(stars) and 2 * reach < cap:
         behind = np.concatenate((names[reach:], np.zeros(min(reach, len(names)), np.int64)))[: len(names)]
-        names, different = _ranks([names, behind])
+        names, different = _pair_ranks(names, behind, different + 1)
         reach *= 2
     return stars[np.argsort(names, kind="stable")]
 
@@ -180,7 +184,11 @@ def suffix_order(text: np.ndarray, cap: int, memory: int = MEMORY) -> tuple[np.n
     """All suffixes in order, and what each has in common with the one before it, both up to ``cap`` (254 at most) symbols."""
     if not len(text):
         return np.zeros(0, np.int64), np.zeros(0, np.uint8)
-    symbols, is_s = int(text.max()) + 1, rising(text)
+    used = np.flatnonzero(np.bincount(text))
+    dense = np.zeros(int(used[-1]) + 1, np.uint16)
+    dense[used] = np.arange(len(used))
+    text, symbols = dense[text], len(used)
+    is_s = rising(text)
     stars = star_order(text, is_s, cap)
     star_common = np.zeros(len(stars), np.uint8)
     star_common[1:] = common_prefix(text, stars[:-1], stars[1:], cap)
