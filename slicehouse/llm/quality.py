@@ -127,8 +127,8 @@ def document_frequencies(docs: DataFrame, text: str = "text") -> tuple[int, np.n
     return int(total[-1]), total[:-1]
 
 
-def labelled_counts(docs: DataFrame, labels: DataFrame, id: str, text: str, label: str, max_labelled: int) -> tuple[np.ndarray, np.ndarray]:
-    """Term counts and labels of at most ``max_labelled`` labelled documents, the first in the order of a hash of id and text.
+def labelled_weights(docs: DataFrame, labels: DataFrame, id: str, text: str, label: str, max_labelled: int) -> tuple[np.ndarray, np.ndarray]:
+    """Dampened term counts and labels of at most ``max_labelled`` labelled documents, the first in the order of a hash of id and text.
 
     Rows without a label or id do not teach. Of several labels for an id the largest is taken.
     """
@@ -142,13 +142,24 @@ def labelled_counts(docs: DataFrame, labels: DataFrame, id: str, text: str, labe
 
     def count(batches: Iterator[pa.RecordBatch]):
         for batch in small_batches(batches):
-            terms = [term_counts(value.as_py()).tobytes() for value in batch.column(0)]
+            terms = [weights_of(term_counts(value.as_py())).astype(np.float16).tobytes() for value in batch.column(0)]
             yield pa.RecordBatch.from_arrays([pa.array(terms, pa.binary()), batch.column(1).cast(pa.float64())], ["terms", "label"])
 
     rows = taught.select("text", "label").mapInArrow(count, "terms binary, label double").collect()
-    size = BUCKETS + SHAPES * 4
-    counts = np.frombuffer(b"".join(bytes(row.terms) for row in rows), np.float32).reshape(-1, size)
-    return counts, np.array([float(row.label > 0) for row in rows])
+    weights = np.empty((len(rows), BUCKETS + SHAPES * 4), np.float32)
+    for place, row in enumerate(rows):
+        weights[place] = np.frombuffer(row.terms, np.float16)
+    return weights, np.array([float(row.label > 0) for row in rows])
+
+
+def main_axes(rows: np.ndarray, dimensions: int, rounds: int = 8) -> np.ndarray:
+    """The axes along which the rows are largest (the leading right singular vectors), by subspace iteration."""
+    start = np.random.default_rng(7).standard_normal((rows.shape[1], dimensions + 16), dtype=np.float32)
+    axes = np.linalg.qr(start)[0]
+    for _ in range(rounds if len(rows) else 0):
+        axes = np.linalg.qr(rows.T @ (rows @ axes))[0]
+    _, turn = np.linalg.eigh((rows @ axes).T @ (rows @ axes))
+    return (axes @ turn[:, ::-1])[:, :dimensions].astype(np.float32)
 
 
 def fit(
@@ -164,14 +175,11 @@ def fit(
 ) -> Neighbours:
     """Term weights from all documents, axes and vectors from a bounded number of labelled ones that are not held out."""
     total, having = document_frequencies(docs, text)
-    counts, wanted = labelled_counts(docs, labels, id, text, label, max_labelled)
+    rows, wanted = labelled_weights(docs, labels, id, text, label, max_labelled)
     weight = (np.log((1 + total) / (1 + having)) + 0.1).astype(np.float32)
-    rows = unit_rows(weights_of(counts) * weight)
-    if len(rows):
-        values, axes = np.linalg.eigh((rows.T @ rows).astype(np.float64))
-        axes = axes[:, np.argsort(-values)[:dimensions]].astype(np.float32)
-    else:
-        axes = np.zeros((len(weight), dimensions), np.float32)
+    rows *= weight
+    rows /= np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
+    axes = main_axes(rows, dimensions)
     base = float(wanted.mean()) if len(wanted) else 0.5
     return Neighbours(weight, axes, unit_rows(rows @ axes), wanted, base, neighbours, sharpness)
 
