@@ -107,7 +107,9 @@ def pack_documents(
     a null id stays null. An empty table gives no rows. Numbers of sequences are unique and have gaps.
     """
     pieces = cut_documents(docs, length, id, text, vocabulary, end_id)
-    partitions = max(parallelism(docs), -(-expected_pieces(docs, length, text) // (4 * group)))
+    # A partition's last group is a part of one, so there are no more partitions than whole groups.
+    expected = expected_pieces(docs, length, text)
+    partitions = max(1, min(max(parallelism(docs), expected // (4 * group)), expected // group))
     return pack_pieces(pieces, partitions, length, group)
 
 
