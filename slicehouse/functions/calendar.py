@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,9 +18,22 @@ DASHED = "yyyy-MM-dd"
 
 
 def shift_days(column: Column | str, read_as: str, days: int, write_as: str) -> Column:
-    """Date text in one format, ``days`` days earlier, in another format. The time of day is kept."""
+    """Date text in one format, ``days`` days earlier, in another format. The time of day is kept, in every time zone.
+
+    A format goes through the session's zone, which may skip the hour in question. So hours, minutes and seconds are taken from the
+    text of the zone-less timestamp, and only the date is formatted. Quoted text in ``write_as`` may not contain HH, mm or ss.
+    """
     moment = F.to_timestamp_ntz(F.col(column) if isinstance(column, str) else column, F.lit(read_as))
-    return F.date_format(moment - F.make_dt_interval(F.lit(days)), write_as)
+    earlier = moment - F.make_dt_interval(F.lit(days))
+    # The text of a zone-less timestamp is the same in every zone.
+    wall = earlier.cast("string")
+    parts = {"HH": F.substring(wall, 12, 2), "mm": F.substring(wall, 15, 2), "ss": F.substring(wall, 18, 2)}
+    pieces = [
+        parts[piece] if piece in parts else F.date_format(earlier.cast("date"), piece)
+        for piece in re.split(r"(HH|mm|ss)", write_as)
+        if piece
+    ]
+    return F.concat(*pieces)
 
 
 def calendar_columns(moment: Column, with_time: bool = False, now: datetime.datetime | None = None) -> dict[str, Column]:

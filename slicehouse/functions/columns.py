@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import re
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -40,6 +41,15 @@ def filter_with(rows: DataFrame, condition: str | None, params: Mapping[str, obj
     return rows.sparkSession.sql(f"SELECT * FROM {{rows}} WHERE {escaped}", args=dict(params), rows=rows)
 
 
+def marked_with(rows: DataFrame, condition: str, params: Mapping[str, object] | None, name: str) -> DataFrame:
+    """Add whether a row satisfies such a condition; false where it is null."""
+    escaped = condition.replace("{", "{{").replace("}", "}}") if params else condition
+    flag = f"coalesce(({escaped}), false) AS `{name}`"
+    if not params:
+        return rows.selectExpr("*", flag)
+    return rows.sparkSession.sql(f"SELECT *, {flag} FROM {{rows}}", args=dict(params), rows=rows)
+
+
 def incremental(rows: DataFrame, column: str, day: datetime.date | str) -> DataFrame:
     """Rows of one day by a timestamp, date or ISO text column, as a half-open range that sources can evaluate."""
     start = datetime.date.fromisoformat(day) if isinstance(day, str) else day
@@ -90,6 +100,20 @@ def map_columns(
     )
 
 
+def mapped_sources(rows: DataFrame, mapping: Mapping[str, str | Column] | None) -> set[str]:
+    """The source's columns, in lower case, that a mapping's expressions mention."""
+    words = {word.lower() for value in (mapping or {}).values() for word in re.findall(r"\w+", str(value))}
+    text = " ".join(str(value) for value in (mapping or {}).values()).lower()
+    return {name.lower() for name in rows.columns if name.lower() in words or f"`{name.lower()}`" in text}
+
+
+def refuse_extra(rows: DataFrame, target: StructType, mapping: Mapping[str, str | Column] | None, table: str) -> None:
+    """An error if the source has columns that neither the target nor the mapping takes, as when a column was added to it."""
+    taken = {name.lower() for name in target.fieldNames()} | mapped_sources(rows, mapping)
+    if extra := [name for name in rows.columns if name.lower() not in taken and name.lower() != "pt"]:
+        raise ValueError(f"{table} has no columns for {extra}; give extra='drop' to leave them out")
+
+
 def conform(rows: DataFrame, target: StructType, mapping: Mapping[str, str | Column] | None = None) -> DataFrame:
     """The target's columns in its order and in its types, mapped where a mapping is given."""
     shaped = map_columns(rows, mapping, target)
@@ -159,11 +183,8 @@ def complex_to_string(rows: DataFrame, columns: Iterable[str], lossless: bool =
 
 def label_by_values(column: Column, labels: Mapping[object, Sequence[object]]) -> Column:
     """The label whose list holds the value; null where none does."""
-    cases = list(labels.items())
-    result = F.when(column.isin(list(cases[0][1])), F.lit(cases[0][0]))
-    for label, values in cases[1:]:
-        result = result.when(column.isin(list(values)), F.lit(label))
-    return result
+    cases = [F.when(column.isin(list(values)), F.lit(label)) for label, values in labels.items()]
+    return F.coalesce(*cases) if cases else F.lit(None).cast("string")
 
 
 def prefix_flag(column: Column, prefix: str) -> Column:

@@ -7,6 +7,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from slicehouse.sinks.warehouse import overwrite_all
+
 # The notations for the place of a value: ${name}, #{name} and $name.
 PLACE = re.compile(r"[$#]\{(\w+)\}|\$([A-Za-z_]\w*)")
 # What a batch value may consist of: digits and names, dates and times, but nothing that ends a literal.
@@ -43,9 +45,15 @@ def fill(statement: str, params: Mapping[str, str]) -> str:
 def run_step(
     spark: SparkSession, statement: str, params: Mapping[str, str], into: str | None = None, **tables: DataFrame
 ) -> DataFrame:
-    """One step of a batch: fill in its values and run it. The rows of a query are stored in the table ``into`` if given."""
+    """One step of a batch: fill in its values and run it. The rows of a query are stored in the table ``into`` if given.
+
+    A table that is there keeps its definition and, until the new rows are computed, its rows; the query may read it.
+    """
     result = param_sql(spark, fill(statement, params), None, **tables)
     if into is None:
         return result
-    result.write.mode("overwrite").saveAsTable(into)
+    if spark.catalog.tableExists(into):
+        overwrite_all(result, into)
+    else:
+        result.write.saveAsTable(into)
     return spark.table(into)

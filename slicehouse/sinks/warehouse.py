@@ -7,14 +7,15 @@ slice, and Spark splits a slice that holds much more than the others over severa
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from slicehouse import text
-from slicehouse.functions.columns import align_to, conform, filter_with
+from slicehouse.functions.columns import align_to, conform, filter_with, marked_with
 from slicehouse.session import scratch_name
 from slicehouse.sources.warehouse import data_schema, partition_columns
 
@@ -86,16 +87,80 @@ def append_rows(rows: DataFrame, table: str) -> int:
 def overwrite_table(rows: DataFrame, table: str) -> int:
     """Replace all rows of an unpartitioned table.
 
-    Spark removes the old files before the job starts, so a job that fails has to be run again. Where readers need the old rows
-    until then, give the table a slice.
+    The rows are written beside the table and take its place when all of them are there: until then, and if the job fails,
+    the old rows stay, also for rows that are read from the table itself.
     """
     spark = rows.sparkSession
     _require_partitions(spark, table, [])
     rows, seen = _counted(align_to(rows, data_schema(spark, table)))
-    _insert(rows, table, mode="static")
+    _write_and_swap(rows, table)
     return seen.get["rows"]
 
 
+def _write_and_swap(rows: DataFrame, table: str) -> None:
+    """Fill a new folder of the table's format, then exchange it with the table's folder by renaming.
+
+    Between the two renamings, which take no longer for large tables, the folder does not exist. If the second one fails,
+    the first one is undone.
+    """
+    spark = rows.sparkSession
+    place = _location(spark, table)
+    beside = f"{place}__{uuid.uuid4().hex[:12]}"
+    made = scratch_name(spark, "beside")
+    spark.sql(f"CREATE TABLE {text.name(made)} LIKE {text.name(table)} LOCATION {text.literal(beside)}")
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(place).getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        _insert(rows, made, mode=None)
+        _exchange(files, path(place), path(beside), path(f"{beside}_old"))
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {text.name(made)}")
+        files.delete(path(beside), True)
+        spark.catalog.refreshTable(table)
+
+
+def _exchange(files, place, new, old) -> None:
+    had = files.exists(place)
+    if had and not files.rename(place, old):
+        raise OSError(f"{place} cannot be moved; it is as it was")
+    if not files.rename(new, place):
+        if had:
+            files.rename(old, place)
+        raise OSError(f"{new} cannot take the place of {place}, which is as it was")
+    if had:
+        files.delete(old, True)
+
+
+def _location(spark: SparkSession, table: str) -> str:
+    described = spark.sql(f"DESCRIBE EXTENDED {text.name(table)}").collect()
+    return next(row.data_type for row in reversed(described) if row.col_name == "Location").rstrip("/")
+
+
+def overwrite_all(rows: DataFrame, table: str) -> int:
+    """Replace all rows of a table, of all its slices if it has some. The old rows stay until the new ones are computed.
+
+    Were the last step of a sliced table to fail, its new rows are kept in a scratch table, which the error names.
+    """
+    spark = rows.sparkSession
+    keys = partition_columns(spark, table)
+    if not keys:
+        return overwrite_table(rows, table)
+    counted, seen = _counted(conform(rows, spark.table(table).schema))
+    aside = scratch_name(spark, "all")
+    counted.write.format("parquet").saveAsTable(aside)
+    _from_aside(spark, aside, lambda: _insert(spark.table(aside).hint("rebalance", *keys), table, "static"))
+    return seen.get["rows"]
+
+
+def _from_aside(spark: SparkSession, aside: str, step: Callable[[], None]) -> None:
+    """A step that replaces rows with those of a scratch table, which is dropped only if the step succeeds."""
+    try:
+        step()
+    except Exception as error:
+        raise RuntimeError(f"the rows to be written are kept in {aside}") from error
+    spark.sql(f"DROP TABLE IF EXISTS {text.name(aside)}")
+
+
 def overwrite_slice(rows: DataFrame, table: str, rebalance: bool = False, **slice_: object) -> int:
     """Replace exactly one slice; no rows leave an empty slice. Returns the number of rows written.
 
@@ -159,38 +224,55 @@ def overwrite_slices(
 def replace_rows(rows: DataFrame, table: str, where: str, params: Mapping[str, object] | None = None) -> int:
     """Delete the rows that satisfy a condition, then add the new ones. Returns the number of rows added.
 
-    Rows for which the condition is null stay. In a partitioned table only those slices are rewritten which lose or
-    gain rows. They take their new content when the job commits; a slice that loses all of its rows is emptied.
+    Rows for which the condition is null stay. An unpartitioned table is written anew beside itself and exchanged. In a partitioned
+    table only those slices are rewritten which lose or gain rows; they take their new content together when the job
+    commits, so a job that fails leaves the old rows. Slices that lose all of their rows are dropped after that, by one
+    statement: should that one fail, running the whole again ends the work.
     """
     spark = rows.sparkSession
     keys = partition_columns(spark, table)
     target = StructType([*data_schema(spark, table), *[spark.table(table).schema[key] for key in keys]])
     old = spark.table(table).select(*map(text.column, target.fieldNames()))
-    kept = filter_with(old, f"NOT coalesce(({where}), false)", params)
     added, seen = _counted(conform(rows, target))
-    aside, result = scratch_name(spark, "added"), scratch_name(spark, "result")
+    kept = filter_with(old, f"NOT coalesce(({where}), false)", params)
+    if not keys:
+        _write_and_swap(kept.unionByName(added), table)
+        return seen.get["rows"]
+    aside = scratch_name(spark, "added")
     try:
         # The new rows are written first: were they computed again later with other slices, those would lose what they had.
         added.write.format("parquet").saveAsTable(aside)
         new = spark.table(aside)
-        if not keys:  # One folder: a table cannot be overwritten while it is read.
-            kept.unionByName(new).write.format("parquet").saveAsTable(result)
-            _insert(spark.table(result), table, mode="static")
-            return seen.get["rows"]
-
         # The catalog holds one entry per slice on the driver anyway, so these lists are no larger than what it has.
         gaining = _slices(new, keys)
-        losing = _slices(filter_with(old, where, params), keys)
-        staying = _slices(kept.where(_in_slices(losing, keys)), keys) if losing else set()
-        if gaining or staying:
-            merged = kept.where(_in_slices(losing | gaining, keys)).unionByName(new)
+        losing, emptied = _touched_slices(old, keys, where, params)
+        rewritten = (losing - emptied) | gaining
+        if rewritten:
+            merged = kept.where(_in_slices(rewritten, keys)).unionByName(new)
             _insert(merged.hint("rebalance", *keys), table, mode="dynamic")
-        for emptied in losing - gaining - staying:
-            _empty_slice(spark, table, emptied.asDict())
+        _drop_slices(spark, table, emptied - gaining)
         return seen.get["rows"]
     finally:
-        for made in (aside, result):
-            spark.sql(f"DROP TABLE IF EXISTS {text.name(made)}")
+        spark.sql(f"DROP TABLE IF EXISTS {text.name(aside)}")
+
+
+def _touched_slices(old: DataFrame, keys: Sequence[str], where: str, params: Mapping[str, object] | None) -> tuple[set[Row], set[Row]]:
+    """The slices that lose rows by a condition, and those of them that lose all, from one pass over the table."""
+    marked = marked_with(old, where, params, "row is doomed")
+    found = marked.groupBy(*map(text.column, keys)).agg(
+        F.bool_or("row is doomed").alias("slice loses rows"), F.bool_and("row is doomed").alias("slice loses all")
+    )
+    losing = found.filter(F.col("slice loses rows")).collect()
+    slices = {Row(**{key: row[key] for key in keys}): row["slice loses all"] for row in losing}
+    return set(slices), {slice_ for slice_, all_ in slices.items() if all_}
+
+
+def _drop_slices(spark: SparkSession, table: str, slices: set[Row]) -> None:
+    unnamed = [slice_ for slice_ in slices if None in slice_]
+    if named := [_spec(slice_.asDict()) for slice_ in slices if None not in slice_]:
+        spark.sql(f"ALTER TABLE {text.name(table)} DROP IF EXISTS {', '.join(named)}")
+    for slice_ in unnamed:  # there is at most one for each value of the other keys
+        _empty_slice(spark, table, slice_.asDict())
 
 
 def _slices(rows: DataFrame, keys: Sequence[str]) -> set[Row]:

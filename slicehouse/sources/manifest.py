@@ -3,19 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql import functions as F
 
-MANIFEST = StructType(
-    [StructField(name, StringType()) for name in ("hive_table", "db_prop", "db_table", "where_condition", "diff_cols")]
-)
+COLUMNS = ("hive_table", "db_prop", "db_table", "where_condition", "diff_cols")
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """Lines of ``warehouse table | connection | source table``, without a header; blank lines are skipped.
 
-    A fourth field is a condition. Lines that end earlier have null there. Column mappings contain the separator
-    themselves, so they come from a table with the same columns rather than from such a file.
+    A fourth field is a condition. All that follows it is the fifth: a column mapping, which has the separator between its own
+    parts. Lines that end earlier have null there, and so have blank fields.
     """
-    return spark.read.csv(
-        path, sep="|", schema=MANIFEST, ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True, quote="", mode="PERMISSIVE"
-    )
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    fields = F.split("value", r"\|", len(COLUMNS))
+    return lines.select(*[F.nullif(F.trim(F.get(fields, place)), F.lit("")).alias(name) for place, name in enumerate(COLUMNS)])

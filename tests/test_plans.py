@@ -9,7 +9,7 @@ import __spark_entry__ as registered
 
 QUERIES = registered.queries()
 READERS = [
-    name for name, query in sorted(QUERIES.items()) if query.__module__.rsplit(".", 1)[1] in ("reports", "columns", "status")
+    name for name, query in sorted(QUERIES.items()) if query.__module__.rpartition(".")[2] in ("reports", "columns", "status")
 ]
 
 
