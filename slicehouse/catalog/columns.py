@@ -61,9 +61,9 @@ def condition_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def schema_contract(spark: SparkSession, folder: str) -> DataFrame:
-    orders = table(spark, folder, "orders").drop("o_totalprice")
-    target = ["o_orderdate", "o_orderkey", "o_orderstatus", "o_custkey", "o_orderpriority"]
-    return align_to(land(orders), target)
+    target = ["o_orderdate", "o_orderkey", "o_totalprice", "o_orderstatus", "o_custkey", "o_orderpriority"]
+    landed = align_to(land(table(spark, folder, "orders")), target)
+    return landed.withColumn("o_totalprice", cents("o_totalprice"))
 
 
 def column_mapping(spark: SparkSession, folder: str) -> DataFrame:
@@ -78,7 +78,10 @@ def column_mapping(spark: SparkSession, folder: str) -> DataFrame:
 def null_cleansing(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events").select(
         "event_id",
-        F.substring("props", 7, 1).alias("as_number"),
+        F.when(F.col("event_type") == "view", F.lit(""))
+        .when(F.col("event_type") == "click", F.col("props"))
+        .otherwise(F.col("event_id").cast("string"))
+        .alias("as_number"),
         F.when(F.col("event_type") == "view", F.lit("")).otherwise(F.col("event_type")).alias("as_text"),
         F.when(F.col("event_type") == "click", F.lit("")).otherwise(F.col("event_type")).alias("as_code"),
     )
@@ -178,12 +181,12 @@ ORACLES = {
     "incremental_filter": f"""SELECT {_ORDER} FROM orders
 WHERE o_orderdate >= TIMESTAMP '1998-10-03' AND o_orderdate < TIMESTAMP '1998-10-04'""",
     "condition_filter": f"SELECT {_ORDER} FROM orders WHERE o_orderdate >= TIMESTAMP '2000-01-01' AND o_orderstatus IN ('O', 'P')",
-    "schema_contract": """SELECT strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate, o_orderkey, o_orderstatus, o_custkey,
-  o_orderpriority FROM orders""",
+    "schema_contract": """SELECT strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate, o_orderkey,
+  CAST(round(o_totalprice * 100) AS BIGINT) AS o_totalprice, o_orderstatus, o_custkey, o_orderpriority FROM orders""",
     "landed_amounts": "SELECT o_orderkey, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders",
     "column_mapping": """SELECT c_custkey AS customer_id, c_name, lower(c_mktsegment) AS segment, '2019-10-28' AS data_date
 FROM customer""",
-    "empty_to_null": """SELECT event_id, TRY_CAST(nullif(substr(props, 7, 1), '') AS INTEGER) AS as_number,
+    "empty_to_null": """SELECT event_id, TRY_CAST(CASE event_type WHEN 'view' THEN '' WHEN 'click' THEN props ELSE event_id::VARCHAR END AS INTEGER) AS as_number,
   CASE WHEN event_type = 'view' THEN '' ELSE event_type END AS as_text, nullif(event_type, 'click') AS as_code FROM events""",
     "stamp_date": "SELECT c_custkey, '2024-01-31' AS data_date FROM customer",
     "complex_to_string": """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(round(CAST(x AS DOUBLE) * 10000) AS INTEGER)) AS w

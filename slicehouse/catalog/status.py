@@ -12,11 +12,14 @@ NOW = "2024-01-31 06:00:00"
 
 
 def _turns(spark: SparkSession, folder: str) -> DataFrame:
-    """Each turn is an instance, in a state that depends on the length of its text."""
-    state = F.element_at(F.array(*map(F.lit, ("init", "running", "error", "finish"))), (F.length("text") % 4 + 1).cast("int"))
-    return table(spark, folder, "conversations").select(
+    """Each turn is an instance in two batches, in states that depend on the length of its text, and in the second on the turn."""
+    shift = F.when(F.col("batch") == "b2", F.col("turn")).otherwise(0)
+    place = ((F.length("text") + shift) % 4 + 1).cast("int")
+    state = F.element_at(F.array(*map(F.lit, ("init", "running", "error", "finish"))), place)
+    talks = table(spark, folder, "conversations").withColumn("batch", F.explode(F.array(F.lit("b1"), F.lit("b2"))))
+    return talks.select(
         F.col("conv_id").alias("business_name"),
-        F.lit("b1").alias("batch"),
+        "batch",
         F.col("turn").alias("tid"),
         F.col("role").alias("name"),
         state.alias("status"),
@@ -56,30 +59,32 @@ def forall_gate(spark: SparkSession, folder: str) -> DataFrame:
 
 def ready_frontier(spark: SparkSession, folder: str) -> DataFrame:
     frontier = ops.ready_frontier(_turns(spark, folder), _turn_edges(spark, folder))
-    return frontier.select("business_name", "tid", "name", "status")
+    return frontier.select("business_name", "batch", "tid", "name", "status")
 
 
 def graph_roots(spark: SparkSession, folder: str) -> DataFrame:
-    return ops.roots(_turns(spark, folder), _turn_edges(spark, folder)).select("business_name", "tid", "status")
+    return ops.roots(_turns(spark, folder), _turn_edges(spark, folder)).select("business_name", "batch", "tid", "status")
 
 
 def mark_roots(spark: SparkSession, folder: str) -> DataFrame:
     turns = _turns(spark, folder).withColumn("start_time", F.lit(None).cast("string"))
     marked = ops.mark_roots_ready(turns, _turn_edges(spark, folder), NOW)
-    return marked.select("business_name", "tid", "status", "start_time")
+    return marked.select("business_name", "batch", "tid", "status", "start_time")
 
 
 def graph_children(spark: SparkSession, folder: str) -> DataFrame:
-    """The turns after those that end in an error."""
+    """The turns after those that end in an error, batch by batch."""
     turns = _turns(spark, folder)
-    failed = ops.select_status(turns, ["error"], "b1")
-    return ops.children(turns, _turn_edges(spark, folder), failed).select("business_name", "tid", "status")
+    failed = ops.select_status(turns, ["error"])
+    below = ops.children_in_batch(turns, _turn_edges(spark, folder), failed)
+    return below.select("business_name", "batch", "tid", "status")
 
 
 def task_names(spark: SparkSession, folder: str) -> DataFrame:
     """Running turns with the definition of their task; those of user turns were dropped."""
-    tasks = _turns(spark, folder).where(F.col("name") != "user").select("business_name", "tid", "name")
-    running = ops.select_status(_turns(spark, folder), ["running"])
+    turns = _turns(spark, folder).where(F.col("batch") == "b1")
+    tasks = turns.where(F.col("name") != "user").select("business_name", "tid", "name")
+    running = ops.select_status(turns, ["running"])
     return ops.with_task(running, tasks).select("business_name", "tid", "name", "task_name")
 
 
@@ -114,7 +119,7 @@ def rerun_selection(spark: SparkSession, folder: str) -> DataFrame:
 
 def open_batch(spark: SparkSession, folder: str) -> DataFrame:
     """Short conversations are untouched batches, middling ones are finished, long ones under way; some are yet to be made."""
-    turns = _turns(spark, folder)
+    turns = _turns(spark, folder).where(F.col("batch") == "b1")
     talks = table(spark, folder, "conversations").groupBy(F.col("conv_id").alias("business_name")).agg(
         F.count("*").alias("turns"), F.max(F.when(F.col("turn") == 0, F.length("text"))).alias("opening")
     )
@@ -149,18 +154,21 @@ QUERIES = {
 _TURNS = """SELECT conv_id AS business_name, turn AS tid, CASE WHEN turn > 0 THEN turn - 1 END AS parent_id, role AS name,
   CASE length(text) % 4 WHEN 0 THEN 'init' WHEN 1 THEN 'running' WHEN 2 THEN 'error' ELSE 'finish' END AS status
 FROM conversations"""
+_BATCHES = """SELECT conv_id AS business_name, batch, turn AS tid, CASE WHEN turn > 0 THEN turn - 1 END AS parent_id, role AS name,
+  ['init', 'running', 'error', 'finish'][(length(text) + CASE batch WHEN 'b2' THEN turn ELSE 0 END) % 4 + 1] AS status
+FROM conversations, (VALUES ('b1'), ('b2')) AS batches(batch)"""
 _STATE = """CASE o_custkey % 5 WHEN 0 THEN 'init' WHEN 1 THEN 'ready' WHEN 2 THEN 'running' WHEN 3 THEN 'error' ELSE 'finish' END"""
 
 ORACLES = {
     "forall_gate": """SELECT o_orderkey, o_custkey FROM orders
 WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_linestatus <> 'F')""",
-    "ready_frontier": f"""WITH t AS ({_TURNS}) SELECT business_name, tid, name, status FROM t a WHERE status = 'init'
-AND NOT EXISTS (SELECT 1 FROM t b WHERE b.business_name = a.business_name AND b.tid = a.parent_id AND b.status <> 'finish')""",
-    "graph_roots": f"WITH t AS ({_TURNS}) SELECT business_name, tid, status FROM t WHERE parent_id IS NULL",
-    "graph_roots_marked": f"""WITH t AS ({_TURNS}) SELECT business_name, tid,
+    "ready_frontier": f"""WITH t AS ({_BATCHES}) SELECT business_name, batch, tid, name, status FROM t a WHERE status = 'init'
+AND NOT EXISTS (SELECT 1 FROM t b WHERE b.business_name = a.business_name AND b.batch = a.batch AND b.tid = a.parent_id AND b.status <> 'finish')""",
+    "graph_roots": f"WITH t AS ({_BATCHES}) SELECT business_name, batch, tid, status FROM t WHERE parent_id IS NULL",
+    "graph_roots_marked": f"""WITH t AS ({_BATCHES}) SELECT business_name, batch, tid,
   CASE WHEN parent_id IS NULL THEN 'ready' ELSE status END AS status, CASE WHEN parent_id IS NULL THEN '{NOW}' END AS start_time FROM t""",
-    "graph_children": f"""WITH t AS ({_TURNS}) SELECT a.business_name, a.tid, a.status FROM t a
-JOIN t b ON b.business_name = a.business_name AND b.tid = a.parent_id WHERE b.status = 'error'""",
+    "graph_children": f"""WITH t AS ({_BATCHES}) SELECT a.business_name, a.batch, a.tid, a.status FROM t a
+JOIN t b ON b.business_name = a.business_name AND b.batch = a.batch AND b.tid = a.parent_id WHERE b.status = 'error'""",
     "task_names": f"""WITH t AS ({_TURNS}) SELECT business_name, tid, name, nullif(name, 'user') AS task_name FROM t
 WHERE status = 'running'""",
     "batch_completion": """SELECT l_orderkey AS batch,

@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from slicehouse.catalog.tables import day_text, table
+from slicehouse.catalog.tables import cents, day_text, table
 from slicehouse.functions.columns import compact_date, land, landing_schema, with_comments
 from slicehouse.operators.status import snapshot_batch
-from slicehouse.plans.jobs import ingest_manifest, load_specs, with_layout
+from slicehouse.plans.jobs import import_rows, ingest_batch, ingest_manifest, load_specs, with_layout
+from slicehouse.plans.specs import ImportSpec
 from slicehouse.session import scratch_folder, scratch_name
 from slicehouse.sinks.warehouse import (
     append_rows,
@@ -106,13 +107,13 @@ def mixed_overwrite_prefix(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def replace_slice(spark: SparkSession, folder: str) -> DataFrame:
-    """One day is deleted and half-filled anew; elsewhere a condition, null for some rows, deletes single rows."""
+    """One day is deleted and half-filled anew, four are emptied; elsewhere a condition, null for some rows, deletes single rows."""
     name = _new_table(spark, "replace", "event_id bigint, label string", ("data_date",))
     events = _events(spark, folder).withColumn("data_date", F.col("op_date"))
     labelled = events.withColumn("label", F.nullif("event_type", F.lit("view")))
     overwrite_slices(labelled, name)
     new = labelled.where((F.col("data_date") == "2024-01-10") & (F.col("event_type") == "click"))
-    condition = "data_date = :day OR (data_date >= '2024-01-20' AND label = 'error')"
+    condition = "data_date = :day OR data_date BETWEEN '2024-01-03' AND '2024-01-06' OR (data_date >= '2024-01-20' AND label = 'error')"
     replace_rows(new, name, condition, {"day": "2024-01-10"})
     return spark.table(name)
 
@@ -128,7 +129,7 @@ def replace_unpartitioned(spark: SparkSession, folder: str) -> DataFrame:
 
 def create_if_absent(spark: SparkSession, folder: str) -> DataFrame:
     """An ORC table made from the landed schema of the orders, with comments, and filled; shown with a comment read back."""
-    orders = table(spark, folder, "orders").drop("o_totalprice")
+    orders = table(spark, folder, "orders")
     noted = with_comments(landing_schema(orders.schema), {name: f"it's {name}" for name in orders.columns})
     name = scratch_name(spark, "created")
     for _ in range(2):
@@ -136,7 +137,7 @@ def create_if_absent(spark: SparkSession, folder: str) -> DataFrame:
     overwrite_slice(land(orders), name, pt="20240101")
     columns = spark.catalog.listColumns(name)
     notes = ", ".join(f"{column.name} {column.dataType} {column.description or 'slice'}" for column in columns)
-    return spark.table(name).withColumn("notes", F.lit(notes))
+    return spark.table(name).withColumns({"o_totalprice": cents("o_totalprice"), "notes": F.lit(notes)})
 
 
 def partition_gate(spark: SparkSession, folder: str) -> DataFrame:
@@ -160,14 +161,10 @@ def manifest_ingest(spark: SparkSession, folder: str) -> DataFrame:
         "lineitem": _new_table(spark, "lineitem_his", "l_orderkey bigint, l_quantity double", ("pt", "l_returnflag"), "orc"),
         "no_such_table": _new_table(spark, "none_his", "id bigint", ("pt",), "orc"),
     }
-    listed = f"{scratch_folder(spark)}/manifest"
-    lines = [(f"{target}|files|{source}",) for source, target in targets.items()]
-    spark.createDataFrame(lines, "line string").coalesce(1).write.text(listed)
-
     layouts = {"orders": "derived", "lineitem": "sub_slices"}
     specs = [
         with_layout(spec, layouts.get(spec.db_table, "slice"), "date_format(o_orderdate, 'yyyy-MM')")
-        for spec in load_specs(read_manifest(spark, listed))
+        for spec in load_specs(_written_manifest(spark, [f"{target}|files|{source}" for source, target in targets.items()]))
     ]
     ledger = ingest_manifest(
         spark,
@@ -180,6 +177,54 @@ def manifest_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return ledger.select("db_table", "status", "num_rows", "batch", "update_time")
 
 
+def _written_manifest(spark: SparkSession, lines: list[str]) -> DataFrame:
+    listed = f"{scratch_folder(spark)}/manifest"
+    spark.createDataFrame([(line,) for line in lines], "line string").coalesce(1).write.text(listed)
+    return read_manifest(spark, listed)
+
+
+def manifest_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """Two batches of one hour side by side, from a manifest line with a condition and two mappings."""
+    name = _new_table(spark, "minutes", "event_id bigint, kind string, worth bigint", ("pt",))
+    line = f"{name} | files | events | date_format(ts, 'mm') = substring('#{{pt}}', 11, 2) | kind:upper(event_type) | worth:cast(value * 100 as bigint)"
+    specs = load_specs(_written_manifest(spark, [line]))
+    for batch in ("202401031000", "202401031005"):
+        ingest_manifest(spark, specs, {"files": lambda source: table(spark, folder, source)}, "events", batch)
+    return spark.table(name)
+
+
+def batch_taken_up(spark: SparkSession, folder: str) -> DataFrame:
+    """Two sources of one table, one of which is late; the batch is run twice. Landed rows, and the ledger's as rows of their own."""
+    name = _new_table(spark, "late", "key bigint, label string", ("pt",))
+    listed = [
+        f"{name}|files|customer||key:c_custkey|label:c_name",
+        f"{name}|files|supplier||key:s_suppkey|label:s_name",
+    ]
+    days = {"customer": "'2024-01-01'", "supplier": "'2024-01-02'"}
+    specs = [with_layout(spec, "derived", days[spec.db_table]) for spec in load_specs(_written_manifest(spark, listed))]
+    ledger = scratch_name(spark, "ledger")
+    there = {"customer"}
+
+    def source(wanted: str) -> DataFrame:
+        if wanted not in there:
+            raise FileNotFoundError(wanted)
+        return table(spark, folder, wanted)
+
+    for _ in range(2):
+        ingest_batch(spark, specs, {"files": source}, "daily", "20240101", ledger)
+        there.add("supplier")
+    kept = spark.table(ledger).select("num_rows", F.concat_ws(" ", "db_table", "status"), F.lit("ledger"))
+    return spark.table(name).union(kept)
+
+
+def import_own_pt(spark: SparkSession, folder: str) -> DataFrame:
+    """A source with a column pt of its own, landed without slices."""
+    name = scratch_name(spark, "own_pt")
+    customers = table(spark, folder, "customer").select("c_custkey", F.col("c_mktsegment").alias("pt"))
+    import_rows(customers, ImportSpec(name, "customer"))
+    return spark.table(name)
+
+
 def batch_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     """Instances for two batches, added to one table."""
     tasks = table(spark, folder, "part").select(
@@ -208,6 +253,9 @@ QUERIES = {
     "partition_gate": partition_gate,
     "slice_list": slice_list,
     "manifest_ingest": manifest_ingest,
+    "manifest_batches": manifest_batches,
+    "batch_taken_up": batch_taken_up,
+    "import_own_pt": import_own_pt,
     "batch_snapshot": batch_snapshot,
 }
 
@@ -232,12 +280,12 @@ WHERE event_type NOT IN ('click', 'view') OR {_DAY} >= '2024-01-15'""",
     "mixed_overwrite_prefix": f"""SELECT event_id, {_DAY} AS op_date, '20240130' AS pt, event_type AS loc FROM events
 WHERE event_type IN ('click', 'view') AND {_DAY} >= '2024-01-15'""",
     "replace_slice": f"""SELECT event_id, nullif(event_type, 'view') AS label, {_DAY} AS data_date FROM events
-WHERE ({_DAY} <> '2024-01-10' OR event_type = 'click') AND NOT ({_DAY} >= '2024-01-20' AND event_type = 'error')""",
+WHERE ({_DAY} <> '2024-01-10' OR event_type = 'click') AND {_DAY} NOT BETWEEN '2024-01-03' AND '2024-01-06' AND NOT ({_DAY} >= '2024-01-20' AND event_type = 'error')""",
     "replace_unpartitioned": """SELECT c_custkey, c_nationkey, CAST(NULL AS VARCHAR) AS data_date FROM customer WHERE c_acctbal >= 5000
 UNION ALL SELECT c_custkey, c_nationkey, '2024-01-01' FROM customer WHERE c_mktsegment = 'BUILDING'""",
     "create_if_absent": """SELECT o_orderkey, o_custkey, o_orderstatus, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate,
-  o_orderpriority, '20240101' AS pt, 'o_orderkey bigint it''s o_orderkey, o_custkey bigint it''s o_custkey, '
-  || 'o_orderstatus string it''s o_orderstatus, o_orderdate string it''s o_orderdate, '
+  o_orderpriority, CAST(round(o_totalprice * 100) AS BIGINT) AS o_totalprice, '20240101' AS pt, 'o_orderkey bigint it''s o_orderkey, o_custkey bigint it''s o_custkey, '
+  || 'o_orderstatus string it''s o_orderstatus, o_totalprice double it''s o_totalprice, o_orderdate string it''s o_orderdate, '
   || 'o_orderpriority string it''s o_orderpriority, pt string slice' AS notes FROM orders""",
     "partition_gate": f"""SELECT DISTINCT strftime(o_orderdate + INTERVAL 27 YEAR, '%Y%m%d') AS pt FROM orders
 WHERE strftime(o_orderdate + INTERVAL 27 YEAR, '%Y%m%d') NOT IN (SELECT {_PT} FROM events)""",
@@ -247,6 +295,13 @@ WHERE strftime(o_orderdate + INTERVAL 27 YEAR, '%Y%m%d') NOT IN (SELECT {_PT} FR
   UNION ALL SELECT 'orders', 'finish', count(*) FROM (SELECT DISTINCT o_custkey, o_orderstatus, strftime(o_orderdate, '%Y-%m') FROM orders)
   UNION ALL SELECT 'lineitem', 'finish', count(*) FROM lineitem
   UNION ALL SELECT 'no_such_table', 'error', NULL)""",
+    "manifest_batches": """SELECT event_id, upper(event_type) AS kind, CAST(trunc(value * 100) AS BIGINT) AS worth,
+  '2024010310' || strftime(ts, '%M') AS pt FROM events WHERE strftime(ts, '%M') IN ('00', '05')""",
+    "batch_taken_up": """SELECT DISTINCT c_custkey AS key, c_name AS label, '20240101' AS pt FROM customer
+UNION ALL SELECT DISTINCT s_suppkey, s_name, '20240102' FROM supplier
+UNION ALL SELECT (SELECT count(*) FROM (SELECT DISTINCT c_custkey, c_name FROM customer)), 'customer finish', 'ledger'
+UNION ALL SELECT (SELECT count(*) FROM (SELECT DISTINCT s_suppkey, s_name FROM supplier)), 'supplier finish', 'ledger'""",
+    "import_own_pt": "SELECT c_custkey, c_mktsegment AS pt FROM customer",
     "batch_snapshot": _SNAPSHOT.format(batch="2024010106", now="2024-01-01 06:00:00")
     + " UNION ALL "
     + _SNAPSHOT.format(batch="2024010206", now="2024-01-02 06:00:00"),

@@ -92,9 +92,9 @@ def ready_frontier(instances: DataFrame, edges: DataFrame) -> DataFrame:
 
     Tasks without parents may start, and a parent without an instance in the batch does not hold anything up.
     """
-    waiting = instances.where(F.col("status") == INIT)
-    unfinished = instances.where(F.col("status") != FINISH)
-    return waiting.join(_below(waiting, edges, unfinished), INSTANCE, "left_anti")
+    unfinished = instances.where(F.col("status") != FINISH).select("business_name", "batch", F.col("tid").alias("parent_id"))
+    held_up = edges.join(unfinished, ["business_name", "parent_id"]).select(*INSTANCE).distinct()
+    return instances.where(F.col("status") == INIT).join(held_up, INSTANCE, "left_anti")
 
 
 def transition(
