@@ -200,10 +200,14 @@ def least_ranks(contents: list[bytes], ranks: np.ndarray) -> list[list[tuple[int
     return out
 
 
-def solved(parts: DataFrame) -> DataFrame:
-    """One row (segment, runs) for each different segment that has strings of texts with other ranks."""
-    distinct = parts.groupBy("anchor", "segment").agg(F.min("rank").alias("rank"), F.first("bytes", ignorenulls=True).alias("bytes"))
-    dealt = distinct.repartition(parallelism(parts), "anchor").sortWithinPartitions("anchor")
+def distinct_segments(parts: DataFrame) -> DataFrame:
+    """Each different segment once, with the smallest rank of its texts: anchor, segment, rank, bytes."""
+    return parts.groupBy("anchor", "segment").agg(F.min("rank").alias("rank"), F.first("bytes", ignorenulls=True).alias("bytes"))
+
+
+def solved(distinct: DataFrame) -> DataFrame:
+    """One row (segment, runs) for each segment: see ``least_ranks``."""
+    dealt = distinct.repartition(parallelism(distinct), "anchor").sortWithinPartitions("anchor")
     runs = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("least", pa.int64())]))
 
     def shards(batches: Iterator[pa.RecordBatch]):
@@ -240,7 +244,9 @@ def repeated_strings(texts: DataFrame) -> DataFrame:
     free_shuffles(spark)
     parts = persisted(segments(texts, shared, frequent))
     free_shuffles(spark)
-    answers = persisted(solved(parts))
+    distinct = persisted(distinct_segments(parts))
+    free_shuffles(spark)
+    answers = persisted(solved(distinct))
     free_shuffles(spark)
     later = F.filter("runs", lambda run: run["least"] < F.col("rank"))
     hits = parts.select("segment", "row", "rank", "start").join(answers, "segment").select("row", "start", F.explode(later).alias("run"))
