@@ -1,0 +1,73 @@
+"""The pipeline stage by stage against brute force, each stage on what the one before has kept."""
+
+import collections
+import os
+
+import pytest
+from pyspark.sql import functions as F
+from test_llm_dedup import plain_components, plain_simhash
+from test_llm_texts import plain_leaks
+
+import corpus_pipeline
+from slicehouse.llm.common import persisted
+from slicehouse.llm.quality import fit, quality_scores
+
+
+@pytest.fixture(scope="module")
+def small(folder):
+    return os.path.join(os.path.dirname(folder.rstrip("/")), "sf0.001")
+
+
+def test_every_stage(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    columns = docs.columns
+    kept = []
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        before, docs = docs, persisted(stage(spark, docs, small))
+        assert docs.columns == columns
+        kept.append(({row.doc_id: row.text for row in before.collect()}, {row.doc_id for row in docs.collect()}))
+    start = spark.read.parquet(f"{small}/documents.parquet")
+
+    scores = quality_scores(start, fit(start, spark.read.parquet(f"{small}/labels.parquet"))).collect()
+    assert kept[0][1] == {row.doc_id for row in scores if row.score >= 0.5}
+
+    last = {}
+    for i, text in sorted(kept[1][0].items()):
+        last[text] = i
+    assert kept[1][1] == set(last.values())
+
+    prints = {i: plain_simhash(text) for i, text in kept[2][0].items()}
+    group = {value: min(own) for own in plain_components(sorted(set(prints.values()))) for value in own}
+    least = {}
+    for i, value in sorted(prints.items()):
+        least.setdefault(group.get(value, value), i)
+    assert kept[2][1] == set(least.values())
+
+    items = [tuple(row) for row in spark.read.parquet(f"{small}/benchmark.parquet").select("item_id", "text").collect()]
+    assert kept[3][1] == {i for i, _, spans, _ in plain_leaks(list(kept[3][0].items()), items) if not spans}
+
+    packed = corpus_pipeline.run(spark, small).collect()
+    lengths = collections.defaultdict(int)
+    for row in packed:
+        lengths[row.doc_id] += row.length
+    assert set(lengths) == kept[3][1]
+    assert all(lengths[row.doc_id] == row.doc_tokens for row in packed)
+
+
+def test_awkward_documents_pass_all_stages(spark, small, tmp_path):
+    rows = [(1, None), (2, ""), (None, "no id at all"), (None, "no id at all"), (3, "river and stone " * 30), (3, "river and stone " * 30), (4, " ")]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    docs = spark.createDataFrame([(i, text, None, None, None) for i, text in rows], schema)
+    for frame, name in ((docs, "some"), (docs.limit(0), "none")):
+        own = str(tmp_path / name)
+        frame.write.parquet(f"{own}/documents.parquet")
+        for table in ("labels", "benchmark"):
+            spark.read.parquet(f"{small}/{table}.parquet").limit(0).write.parquet(f"{own}/{table}.parquet")
+        got = corpus_pipeline.run(spark, own)
+        # Without labels all pass; "", null and " " are one near-duplicate group after the equal ones have gone.
+        assert sorted({(row.doc_id, row.start) for row in got.collect()}, key=str) == sorted({(None, 0), (3, 0), (2, 0)} if name == "some" else set(), key=str)
+
+
+def test_names_and_signatures():
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["quality classifier", "exact dedup", "near dedup", "benchmark decontamination", "packing"]
+    assert corpus_pipeline.ORACLE_SQL is None and set(corpus_pipeline.queries()) == {"pipeline"}
