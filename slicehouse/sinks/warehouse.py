@@ -161,15 +161,19 @@ def _from_aside(spark: SparkSession, aside: str, step: Callable[[], None]) -> No
     spark.sql(f"DROP TABLE IF EXISTS {text.name(aside)}")
 
 
-def overwrite_slice(rows: DataFrame, table: str, rebalance: bool = False, **slice_: object) -> int:
+def overwrite_slice(
+    rows: DataFrame, table: str, rebalance: bool = False, at: Mapping[str, object] | None = None, **named: object
+) -> int:
     """Replace exactly one slice; no rows leave an empty slice. Returns the number of rows written.
 
+    The slice is given by name (``pt="20240101"``), or as the mapping ``at``, which takes any names.
+
     Rows are written by the tasks that have them, without a shuffle. Where a filter left those tasks with little,
     ``rebalance`` gives fewer and larger files.
 
     The rows take the place of the old ones when the job commits, so a job that fails half-way leaves the old slice.
     """
-    spark = rows.sparkSession
+    spark, slice_ = rows.sparkSession, {**(at or {}), **named}
     _require_partitions(spark, table, list(slice_))
     placed = align_to(rows, data_schema(spark, table))
     counted, seen = _counted(placed.hint("rebalance") if rebalance else placed)
@@ -191,15 +195,16 @@ def overwrite_slices(
     distinct: bool = False,
     whole_prefix: bool = False,
     rebalance: bool = True,
-    **fixed: object,
+    at: Mapping[str, object] | None = None,
+    **named: object,
 ) -> int:
     """Replace those slices for which there are rows; slices without new rows stay as they are.
 
-    ``derive`` computes partition columns from the row, ``fixed`` gives leading ones a constant
-    (``pt="20240101"``). With ``whole_prefix``, all slices under the fixed values are replaced, also those that get no rows.
+    ``derive`` computes partition columns from the row; leading ones may be given a constant
+    (``pt="20240101"``, or the mapping ``at``, which takes any names). With ``whole_prefix``, all slices under the fixed values are replaced, also those that get no rows.
     ``distinct`` drops repeated rows before the write.
     """
-    spark = rows.sparkSession
+    spark, fixed = rows.sparkSession, {**(at or {}), **named}
     keys = partition_columns(spark, table)
     if not keys:
         raise ValueError(f"{table} is not partitioned")

@@ -36,14 +36,16 @@ def read_slice(
     where: str | None = None,
     params: Mapping[str, object] | None = None,
     columns: Sequence[str] | None = None,
+    at: Mapping[str, object] | None = None,
     **slice_: object,
 ) -> DataFrame:
     """Rows of the slices given by partition values (``pt="20240101"``) and, or, a condition.
 
+    ``at`` gives partition values as a mapping, also for columns that have the name of a parameter.
     A condition on partition columns selects folders, so that other slices are not listed or opened.
     """
     rows = spark.table(table)
-    for key, value in slice_.items():
+    for key, value in {**(at or {}), **slice_}.items():
         rows = rows.where(F.col(key).isNull() if value is None else F.col(key) == F.lit(value))
     rows = filter_with(rows, where, params)
     return rows.select(*columns) if columns else rows

@@ -13,6 +13,7 @@ from slicehouse.session import scratch_folder, scratch_name
 from slicehouse.sinks import warehouse
 from slicehouse.sinks.warehouse import append_rows, create_table_if_absent, overwrite_all, overwrite_table, replace_rows
 from slicehouse.sources.manifest import read_manifest
+from slicehouse.sources.warehouse import read_slice
 
 
 def new_table(spark, columns, keys=(), format="orc"):
@@ -216,3 +217,11 @@ def test_days_ago_in_a_zone_that_skips_an_hour(spark):
 
 def test_labels_of_an_empty_mapping(spark):
     assert spark.range(1).select(label_by_values(F.col("id"), {}).alias("x")).first().x is None
+
+
+def test_partition_columns_with_the_names_of_parameters(spark):
+    table = new_table(spark, "id bigint", ("table", "columns"), "parquet")
+    at = {"table": "a", "columns": "b"}
+    assert warehouse.overwrite_slice(spark.range(2), table, at=at) == 2
+    assert warehouse.overwrite_slices(spark.range(3).withColumn("columns", F.lit("c")), table, at={"table": "a"}) == 3
+    assert read_slice(spark, table, at=at).count() == 2 and spark.table(table).count() == 5
