@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import sys
+import unicodedata
 from collections.abc import Iterator
 from types import ModuleType
 
@@ -47,11 +48,14 @@ class Encoder:
         self.width, self.cached, self.parts, self.before = width, cached, {}, {}
 
     def _learn(self, parts: list[str]) -> None:
-        """Encode parts of texts. Signs behind a letter are tokens of their own, so a word with and without them is encoded once."""
+        """Encode parts of texts. Signs behind a letter are tokens of their own, so a word with and without them is encoded once.
+
+        What counts is the letter that the tokenizer sees: a capital I with a dot, for one, ends in a combining dot when lower-cased.
+        """
         known, cut, need = self.parts, [], {}
         for part in parts:
             core = part.rstrip(SIGNS)
-            if core == part or not core[-1:].isalpha():
+            if core == part or not unicodedata.normalize("NFC", core).lower()[-1:].isalpha():
                 need[part] = None
                 continue
             cut.append((part, core, signs := part[len(core) :]))
