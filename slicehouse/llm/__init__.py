@@ -19,10 +19,11 @@ from slicehouse.llm import (  # noqa: E402
     simhash,
     suffix_dedup,
     token_counts,
+    turn_repair,
     url_filter,
 )
 
-MODULES = (packing, token_counts, exact_dedup, quality, html_extract, simhash, suffix_dedup, url_filter, preference, decontaminate)
+MODULES = (packing, token_counts, exact_dedup, quality, html_extract, simhash, suffix_dedup, url_filter, preference, decontaminate, turn_repair)
 
 
 def queries() -> dict:
