@@ -17,13 +17,14 @@ from slicehouse.llm import (  # noqa: E402
     preference,
     quality,
     simhash,
+    spelling,
     suffix_dedup,
     token_counts,
     turn_repair,
     url_filter,
 )
 
-MODULES = (packing, token_counts, exact_dedup, quality, html_extract, simhash, suffix_dedup, url_filter, preference, decontaminate, turn_repair)
+MODULES = (packing, token_counts, exact_dedup, quality, html_extract, simhash, suffix_dedup, url_filter, preference, decontaminate, spelling, turn_repair)
 
 
 def queries() -> dict:

@@ -1,0 +1,124 @@
+"""Spelling variants against brute force: acceptors, pairs one edit apart, dividing of large partitions, forms and roots."""
+
+import collections
+import itertools
+import random
+import re
+import zlib
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from slicehouse.llm import spelling
+from slicehouse.llm.spelling import Acceptor, near_pairs, near_words, op11_spelling_variants, spelling_variants, word_counts
+
+
+def one_edit(a, b):
+    if abs(len(a) - len(b)) > 1 or a == b:
+        return False
+    if len(a) > len(b):
+        a, b = b, a
+    same = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), len(a))
+    return a[same + (len(a) == len(b)) :] == b[same + 1 :]
+
+
+def plain_variants(words, ratio=10):
+    near = {w: [v for v in words if one_edit(v, w)] for w in words}
+    form = {}
+    for word, n in words.items():
+        best = min(near[word], key=lambda v: (-words[v], v), default=None)
+        form[word] = best if best is not None and words[best] >= ratio * n else None
+    out = {}
+    for word, n in words.items():
+        root = word
+        while form[root] is not None:
+            root = form[root]
+        out[word] = (form[word], root, n, len(near[word]), words[form[word]] if form[word] else None)
+    return out
+
+
+def plain_words(rows, damaged=31):
+    counts = collections.Counter()
+    for own, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'' if own is None else own}:{run}".encode())
+            if h % damaged == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            counts[run] += 1
+    return {word: n for word, n in counts.items() if len(word) >= 7 and n >= 2}
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.sets(st.text("abé", min_size=0, max_size=6), max_size=40), st.booleans())
+def test_composition_accepts_all_pairs_once(words, backwards):
+    rest = {word: [] for word in words}
+    for replacing in (True, False):
+        got = [tuple(sorted(pair)) for pair in near_pairs(rest, replacing, backwards)]
+        want = {tuple(sorted((a, b))) for a, b in itertools.combinations(words, 2) if one_edit(a, b) and (len(a) == len(b)) == replacing}
+        assert len(got) == len(set(got)) and set(got) == want
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.sets(st.text("ab", max_size=6), max_size=30))
+def test_acceptor_is_minimal(words):
+    made = Acceptor(sorted(words))
+
+    def language(state):
+        return frozenset(([""] if made.final[state] else []) + [c + rest for c, ahead in made.arcs[state].items() for rest in language(ahead)])
+
+    every = [language(state) for state in range(len(made.final))]
+    assert set(every[made.start]) == words and len(set(every)) == len(every)
+
+
+def vocabulary(seed, roots, variants, letters="abcdeé"):
+    rng = random.Random(seed)
+    words = {}
+    for _ in range(roots):
+        word = "".join(rng.choice(letters) for _ in range(rng.randrange(7, 12)))
+        words[word] = rng.choice([20, 300, 300, 5000])
+        for _ in range(variants):
+            place, letter = rng.randrange(len(word) + 1), rng.choice(letters)
+            kind = rng.randrange(3)
+            own = word[:place] + (letter if kind else "") + word[place + (kind < 2) :]
+            words.setdefault(own, rng.choice([2, 2, 30, 400]))
+            word = own if rng.random() < 0.3 else word
+    return words
+
+
+@pytest.mark.parametrize("group", [20_000, 6])
+def test_variants_against_brute_force(spark, group):
+    words = vocabulary(group, 60, 8)
+    words.update({"ab" * 40: 50, "ab" * 39 + "a": 5, "a" * 30: 7, "a" * 31: 700, "a" * 32: 9000})
+    frame = spark.createDataFrame([(word, n, 1) for word, n in words.items()], "word string, n bigint, key int")
+    got = {row.word: (row.form, row.root, row.n, row.n_near, row.form_n) for row in spelling_variants(frame, group=group).collect()}
+    assert got == plain_variants(words)
+
+
+def test_one_first_half_for_most_words(spark):
+    """A common beginning that a third of all words and more share is divided until no partition is large."""
+    rng = random.Random(8)
+    words = {"unendlich" + "".join(rng.choice("abcd") for _ in range(9)): rng.randrange(2, 99) for _ in range(900)}
+    frame = spark.createDataFrame(list(words.items()), "word string, n bigint")
+    dealt = spelling._dealt(frame, 40)
+    assert max(row["count"] for row in dealt.groupBy("key").count().collect()) <= 40
+    got = {row.word: row.n_near for row in near_words(frame, 40).collect()}
+    assert got == {word: n for word in words if (n := sum(one_edit(word, other) for other in words))}
+
+
+def test_words_and_query(spark, tmp_path, monkeypatch):
+    rng = random.Random(9)
+    stock = ["Zusammen", "zusammen", "ÉCLAIRAGE", "Éclairage", "éclairage", "between", "betwéen", "short", "a×b÷cdefgh", "thousand", "Thousands", "x" * 5000]
+    rows = [(i, " ".join(rng.choice(stock) + rng.choice(["", ".", "1", "\n"]) for _ in range(rng.randrange(80)))) for i in range(150)]
+    rows += [(None, "between between thousand"), (7, None), (8, ""), (9, "thousand " * 3000), (9, "thousand"), (9, "thousand")]
+    docs = spark.createDataFrame([(*row, 1, "x") for row in rows], "doc_id bigint, text string, n int, word string").repartition(3)
+    want = plain_words(rows)
+    assert {row.word: row.n for row in word_counts(docs).collect()} == want
+    monkeypatch.setattr(spelling, "HELD", 3)
+    assert {row.word: row.n for row in word_counts(docs).collect()} == want
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = op11_spelling_variants(spark, str(tmp_path))
+    assert got.columns == ["word", "form", "root", "n", "n_near", "form_n"]
+    assert {row.word: tuple(row[1:]) for row in got.collect()} == plain_variants(want)
+    assert spelling_variants(word_counts(docs.limit(0))).count() == 0
