@@ -7,7 +7,11 @@ slice, and Spark splits a slice that holds much more than the others over severa
 
 from __future__ import annotations
 
+import datetime
+import re
+import time
 import uuid
+import warnings
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
@@ -87,48 +91,65 @@ def append_rows(rows: DataFrame, table: str) -> int:
 def overwrite_table(rows: DataFrame, table: str) -> int:
     """Replace all rows of an unpartitioned table.
 
-    The rows are written beside the table and take its place when all of them are there: until then, and if the job fails,
+    The rows are written into a new folder, which the table points to when all of them are there: until then, and if the job fails,
     the old rows stay, also for rows that are read from the table itself.
     """
     spark = rows.sparkSession
     _require_partitions(spark, table, [])
     rows, seen = _counted(align_to(rows, data_schema(spark, table)))
-    _write_and_swap(rows, table)
+    _write_and_point(rows, table)
     return seen.get["rows"]
 
 
-def _write_and_swap(rows: DataFrame, table: str) -> None:
-    """Fill a new folder of the table's format, then exchange it with the table's folder by renaming.
+#: What the names of folders end in that a table was pointed to.
+_VERSION = re.compile("__v[0-9a-f]{12}$")
 
-    Between the two renamings, which take no longer for large tables, the folder does not exist. If the second one fails,
-    the first one is undone.
+
+def _stem(place: str) -> str:
+    return _VERSION.sub("", place)
+
+
+def _write_and_point(rows: DataFrame, table: str) -> None:
+    """Fill a new folder of the table's format beside its folder, then let the table point to the new one.
+
+    The change of the location is one statement to the catalog and the only step that readers see. Nothing is renamed, so no step takes longer
+    on stores that rename by copying, and a driver that dies leaves the table with all of its old or all of its new rows. What it leaves beside them
+    is a folder that no table points to, which ``sweep_folders`` removes.
     """
     spark = rows.sparkSession
-    place = _location(spark, table)
-    beside = f"{place}__{uuid.uuid4().hex[:12]}"
+    new = f"{_stem(_location(spark, table))}__v{uuid.uuid4().hex[:12]}"
     made = scratch_name(spark, "beside")
-    spark.sql(f"CREATE TABLE {text.name(made)} LIKE {text.name(table)} LOCATION {text.literal(beside)}")
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    files = path(place).getFileSystem(spark._jsc.hadoopConfiguration())
+    spark.sql(f"CREATE TABLE {text.name(made)} LIKE {text.name(table)} LOCATION {text.literal(new)}")
     try:
         _insert(rows, made, mode=None)
-        _exchange(files, path(place), path(beside), path(f"{beside}_old"))
+        old = _location(spark, table)
+        _point_to(spark, table, new)
+    except Exception:
+        # The catalog may have made the change and failed to say so.
+        if _location(spark, table) != new:
+            _remove(spark, new)
+        raise
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {text.name(made)}")
-        files.delete(path(beside), True)
         spark.catalog.refreshTable(table)
+    _remove(spark, old)
 
 
-def _exchange(files, place, new, old) -> None:
-    had = files.exists(place)
-    if had and not files.rename(place, old):
-        raise OSError(f"{place} cannot be moved; it is as it was")
-    if not files.rename(new, place):
-        if had:
-            files.rename(old, place)
-        raise OSError(f"{new} cannot take the place of {place}, which is as it was")
-    if had:
-        files.delete(old, True)
+def _point_to(spark: SparkSession, table: str, place: str) -> None:
+    spark.sql(f"ALTER TABLE {text.name(table)} SET LOCATION {text.literal(place)}")
+
+
+def _folder(spark: SparkSession, place: str) -> tuple:
+    path = spark._jvm.org.apache.hadoop.fs.Path(place)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def _remove(spark: SparkSession, place: str) -> None:
+    files, path = _folder(spark, place)
+    try:
+        files.delete(path, True)
+    except Exception as error:  # The table has its rows; what is left is for the next sweep.
+        warnings.warn(f"{place} could not be removed: {error}", stacklevel=2)
 
 
 def _location(spark: SparkSession, table: str) -> str:
@@ -136,6 +157,34 @@ def _location(spark: SparkSession, table: str) -> str:
     return next(row.data_type for row in reversed(described) if row.col_name == "Location").rstrip("/")
 
 
+def sweep_folders(spark: SparkSession, table: str, older_than: datetime.timedelta = datetime.timedelta(days=1)) -> list[str]:
+    """Remove folders beside a table that it was or was to be pointed to and does not point to now; returns them.
+
+    A folder counts by its newest file. Overwrites that are at work have newer ones, if ``older_than`` is longer than a write can be silent, and
+    so have the last rows that a long query may still be reading. The very first folder of a table has a plain name and is not looked at.
+    """
+    now_at = _location(spark, table)
+    files, path = _folder(spark, _stem(now_at))
+    limit = (time.time() - older_than.total_seconds()) * 1000
+    removed = []
+    for found in files.listStatus(path.getParent()) if files.exists(path.getParent()) else []:
+        place = found.getPath()
+        if not found.isDirectory() or _stem(place.getName()) != path.getName() or place.getName() == path.getName():
+            continue
+        if place.getName() == now_at.rsplit("/", 1)[-1] or _newest(files, found) > limit:
+            continue
+        files.delete(place, True)
+        removed.append(place.toString())
+    return sorted(removed)
+
+
+def _newest(files, folder) -> int:
+    newest, inside = folder.getModificationTime(), files.listFiles(folder.getPath(), True)
+    while inside.hasNext():
+        newest = max(newest, inside.next().getModificationTime())
+    return newest
+
+
 def overwrite_all(rows: DataFrame, table: str) -> int:
     """Replace all rows of a table, of all its slices if it has some. The old rows stay until the new ones are computed.
 
@@ -229,7 +278,7 @@ def overwrite_slices(
 def replace_rows(rows: DataFrame, table: str, where: str, params: Mapping[str, object] | None = None) -> int:
     """Delete the rows that satisfy a condition, then add the new ones. Returns the number of rows added.
 
-    Rows for which the condition is null stay. An unpartitioned table is written anew beside itself and exchanged. In a partitioned
+    Rows for which the condition is null stay. An unpartitioned table is written anew and pointed to its new folder. In a partitioned
     table only those slices are rewritten which lose or gain rows; they take their new content together when the job
     commits, so a job that fails leaves the old rows. Slices that lose all of their rows are dropped after that, by one
     statement: should that one fail, running the whole again ends the work.
@@ -241,7 +290,7 @@ def replace_rows(rows: DataFrame, table: str, where: str, params: Mapping[str, o
     added, seen = _counted(conform(rows, target))
     kept = filter_with(old, f"NOT coalesce(({where}), false)", params)
     if not keys:
-        _write_and_swap(kept.unionByName(added), table)
+        _write_and_point(kept.unionByName(added), table)
         return seen.get["rows"]
     aside = scratch_name(spark, "added")
     try:

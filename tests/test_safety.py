@@ -1,5 +1,7 @@
 """What stays when a write fails, what is refused instead of being cut, and batches that are taken up again."""
 
+import datetime
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -11,7 +13,7 @@ from slicehouse.plans.specs import ImportSpec, LoadSpec
 from slicehouse.plans.statements import run_step
 from slicehouse.session import scratch_folder, scratch_name
 from slicehouse.sinks import warehouse
-from slicehouse.sinks.warehouse import append_rows, create_table_if_absent, overwrite_all, overwrite_table, replace_rows
+from slicehouse.sinks.warehouse import append_rows, create_table_if_absent, overwrite_all, overwrite_table, replace_rows, sweep_folders
 from slicehouse.sources.manifest import read_manifest
 from slicehouse.sources.warehouse import read_slice
 
@@ -50,28 +52,81 @@ def test_a_failing_source_leaves_an_unpartitioned_table(spark, format):
     assert overwrite_table(spark.range(0), table) == 0 and rows_of(spark, table) == []
 
 
-def test_a_failing_exchange_is_undone(spark, monkeypatch):
-    table = new_table(spark, "id bigint")
-    append_rows(spark.range(3), table)
-    real = warehouse._exchange
+class Killed(BaseException):
+    """What no step of the library catches."""
+
 
-    class Files:
-        """Renames the table away, but nothing into its place."""
+def folders_of(spark, table):
+    place = warehouse._location(spark, table)
+    files, path = warehouse._folder(spark, warehouse._stem(place))
+    names = [found.getPath().getName() for found in files.listStatus(path.getParent())]
+    return {name for name in names if warehouse._stem(name) == path.getName()}, place.rsplit("/", 1)[-1]
 
-        def __init__(self, files):
-            self.files, self.moves = files, 0
 
-        def exists(self, path):
-            return self.files.exists(path)
+STEPS = ["_insert", "_point_to", "_remove"]
 
-        def rename(self, a, b):
-            self.moves += 1
-            return False if self.moves == 2 else self.files.rename(a, b)
 
-    monkeypatch.setattr(warehouse, "_exchange", lambda files, *places: real(Files(files), *places))
+@pytest.mark.parametrize("step, after", [(step, after) for step in STEPS for after in (False, True)])
+def test_a_kill_between_any_two_steps_leaves_old_or_new_rows(spark, monkeypatch, step, after):
+    table = new_table(spark, "id bigint")
+    append_rows(spark.range(3), table)
+    overwrite_table(spark.range(4), table)
+    real = getattr(warehouse, step)
+
+    def dying(*given, **named):
+        if after:
+            real(*given, **named)
+        raise Killed
+
+    with monkeypatch.context() as patched:
+        patched.setattr(warehouse, step, dying)
+        with pytest.raises(Killed):
+            overwrite_table(spark.range(9), table)
+    new = step == "_remove" or (step == "_point_to" and after)
+    assert rows_of(spark, table) == [(i,) for i in range(9 if new else 4)]
+    every, current = folders_of(spark, table)
+    left = every - {current}
+    assert sweep_folders(spark, table) == []  # all of it is younger than a day
+    assert {place.rsplit("/", 1)[-1] for place in sweep_folders(spark, table, datetime.timedelta(0))} == left
+    assert folders_of(spark, table)[0] == {current}
+    assert rows_of(spark, table) == [(i,) for i in range(9 if new else 4)]
+    assert overwrite_table(spark.range(2), table) == 2 and rows_of(spark, table) == [(0,), (1,)]
+
+
+def test_an_unsure_change_keeps_the_rows(spark, monkeypatch):
+    """The catalog changes the location and then fails to say so: the new folder must not be removed."""
+    table = new_table(spark, "id bigint", format="parquet")
+    append_rows(spark.range(3), table)
+    real = warehouse._point_to
+
+    def unsure(*given):
+        real(*given)
+        raise OSError("timeout")
+
+    monkeypatch.setattr(warehouse, "_point_to", unsure)
+    with pytest.raises(OSError):
+        overwrite_table(spark.range(5), table)
+    assert rows_of(spark, table) == [(i,) for i in range(5)]
+    monkeypatch.setattr(warehouse, "_point_to", lambda *given: (_ for _ in ()).throw(OSError("refused")))
     with pytest.raises(OSError):
-        overwrite_table(spark.range(9), table)
-    assert rows_of(spark, table) == [(0,), (1,), (2,)]
+        overwrite_table(spark.range(7), table)
+    assert rows_of(spark, table) == [(i,) for i in range(5)]
+    every, current = folders_of(spark, table)
+    assert current in every and len(every) == 2  # the first folder is left, as nobody knew; the refused one is gone
+
+
+def test_sweeping_spares_tables_of_like_names(spark):
+    table = new_table(spark, "id bigint")
+    longer = f"{table}__v2"
+    create_table_if_absent(spark, longer, StructType.fromDDL("id bigint"), ())
+    for name in (table, longer):
+        append_rows(spark.range(3), name)
+        for count in (4, 5):
+            overwrite_table(spark.range(count), name)
+    sweep_folders(spark, table, datetime.timedelta(0))
+    assert rows_of(spark, table) == rows_of(spark, longer) == [(i,) for i in range(5)]
+    spark.sql(f"DROP TABLE {table}")
+    assert rows_of(spark, longer) == [(i,) for i in range(5)]
 
 
 def test_a_failing_last_write_leaves_slices(spark, monkeypatch):
