@@ -14,6 +14,7 @@ from slicehouse.llm import (  # noqa: E402
     exact_dedup,
     html_extract,
     packing,
+    personal_data,
     preference,
     quality,
     simhash,
@@ -24,7 +25,7 @@ from slicehouse.llm import (  # noqa: E402
     url_filter,
 )
 
-MODULES = (packing, token_counts, exact_dedup, quality, html_extract, simhash, suffix_dedup, url_filter, preference, decontaminate, spelling, turn_repair)
+MODULES = (packing, token_counts, exact_dedup, quality, html_extract, simhash, suffix_dedup, url_filter, preference, decontaminate, spelling, personal_data, turn_repair)
 
 
 def queries() -> dict:
