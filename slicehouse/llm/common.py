@@ -21,7 +21,17 @@ def persisted(frame: DataFrame) -> DataFrame:
     """The rows, written to the shared folder and read again: a cut in the lineage that outlives any executor."""
     folder = scratch_folder(frame.sparkSession)
     frame.write.option("compression", "zstd").parquet(f"{folder}/rows")
-    return frame.sparkSession.read.schema(frame.schema).parquet(f"{folder}/rows")
+    rows = frame.sparkSession.read.schema(frame.schema).parquet(f"{folder}/rows")
+    rows.written_to = folder
+    return rows
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete what ``persisted`` wrote for these frames. Nothing may be read from them any more."""
+    for frame in frames:
+        spark = frame.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(frame.written_to)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_of(column: str) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slicehouse.llm.common import persisted
+from slicehouse.llm.common import discard, persisted
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
@@ -22,8 +22,9 @@ def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
         state = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
             break
-        before = state
+        before, old = state, links
         links = persisted(_small_star(_large_star(links)))
+        discard(old)
     else:
         raise RuntimeError(f"components not settled after {max_rounds} rounds")
     return links.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
