@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from slicehouse.catalog import columns, database, reports, status, warehouse
+from slicehouse.catalog import columns, database, graphs, reports, status, warehouse
 
-MODULES = (reports, columns, warehouse, database, status)
+MODULES = (reports, columns, warehouse, database, status, graphs)
 
 
 def queries() -> dict:

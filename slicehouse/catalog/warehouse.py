@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 from slicehouse.catalog.tables import cents, day_text, table
 from slicehouse.functions.columns import compact_date, land, landing_schema, with_comments
 from slicehouse.operators.status import snapshot_batch
-from slicehouse.plans.jobs import import_rows, ingest_batch, ingest_manifest, load_specs, with_layout
+from slicehouse.plans.jobs import import_rows, ingest_batch, ingest_manifest, ledger_state, load_specs, with_layout
 from slicehouse.plans.specs import ImportSpec
 from slicehouse.session import scratch_folder, scratch_name
 from slicehouse.sinks.warehouse import (
@@ -213,7 +213,7 @@ def batch_taken_up(spark: SparkSession, folder: str) -> DataFrame:
     for _ in range(2):
         ingest_batch(spark, specs, {"files": source}, "daily", "20240101", ledger)
         there.add("supplier")
-    kept = spark.table(ledger).select("num_rows", F.concat_ws(" ", "db_table", "status"), F.lit("ledger"))
+    kept = ledger_state(spark.table(ledger)).select("num_rows", F.concat_ws(" ", "db_table", "status"), F.lit("ledger"))
     return spark.table(name).union(kept)
 
 

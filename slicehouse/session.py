@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_session(app_name: str = "slicehouse", master: str | None = None, **settings: object) -> SparkSession:
@@ -60,6 +60,13 @@ def scratch_folder(spark: SparkSession) -> str:
     return folder
 
 
+def written(rows: DataFrame) -> DataFrame:
+    """The rows, written to the shared folder and read again: a cut in the lineage that outlives any executor."""
+    place = f"{scratch_folder(rows.sparkSession)}/rows"
+    rows.write.parquet(place)
+    return rows.sparkSession.read.schema(rows.schema).parquet(place)
+
+
 def scratch_database(spark: SparkSession) -> str:
     """This application's database for intermediate tables, kept in the shared folder and made on first use."""
     name = "slicehouse_" + re.sub(r"\W", "_", spark.sparkContext.applicationId).lower()

@@ -8,7 +8,7 @@ from pyspark.sql.types import StructType
 
 from slicehouse.functions.calendar import shift_days
 from slicehouse.functions.columns import label_by_values
-from slicehouse.plans.jobs import import_rows, ingest_batch, ingest_manifest, load_specs
+from slicehouse.plans.jobs import import_rows, ingest_batch, ingest_manifest, ledger_state, load_specs
 from slicehouse.plans.specs import ImportSpec, LoadSpec
 from slicehouse.plans.statements import run_step
 from slicehouse.session import scratch_folder, scratch_name
@@ -226,7 +226,7 @@ def test_two_sources_of_one_table_are_both_loaded(spark):
     specs = [LoadSpec(table, "db", name, layout="derived") for name in ("a", "b")]
     read = {"db": lambda name: tables[name]}
     assert not ingest_batch(spark, specs, read, "daily", "20240101", ledger)
-    states = lambda: {row.db_table: row.status for row in spark.table(ledger).collect()}
+    states = lambda: {row.db_table: row.status for row in ledger_state(spark.table(ledger)).collect()}
     assert states() == {"a": "finish", "b": "error"}
     tables["b"] = spark.createDataFrame([(2, "2024-01-02")], "id int, op_date string")
     assert ingest_batch(spark, specs, read, "daily", "20240101", ledger)
@@ -246,7 +246,7 @@ def test_outcomes_are_recorded_as_tables_end(spark):
 
     with pytest.raises(KeyboardInterrupt):
         ingest_batch(spark, [LoadSpec(table, "db", "first"), LoadSpec(other, "db", "late")], {"db": read}, "daily", "20240101", ledger, at_once=1)
-    assert {row.db_table: row.status for row in spark.table(ledger).collect()} == {"first": "finish", "late": "ready"}
+    assert {row.db_table: row.status for row in ledger_state(spark.table(ledger)).collect()} == {"first": "finish", "late": "ready"}
 
 
 def test_errors_keep_their_text(spark):
