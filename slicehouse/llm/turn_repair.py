@@ -424,5 +424,68 @@ def op13_turn_repair(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _add(key: str, cost: object, letter: str) -> str:
+    """SQL: a state's key, which is its cost in nine digits and its audit, with one edit more. Keys sort as (cost, audit) do."""
+    return f"lpad(CAST(CAST(substr({key}, 1, 9) AS INT) + {cost} AS VARCHAR), 9, '0') || substr({key}, 10) || '{letter}'"
+
+
+def _oracle() -> str:
+    insert = {state: _add(state, INSERT, "I") for state in ("n0", "n1", "n3", "c2")}
+    keep = {(p, i): f"CASE WHEN free AND initial = '{i}' THEN {_add(p, 'short', 'K')} END" for p in ("k0", "k1", "k2", "k3") for i in "sua"}
+    rerole = {p: f"CASE WHEN free THEN {_add(p, f'({REROLE} + short)', 'R')} END" for p in ("k0", "k1", "k2", "k3")}
+    drop = {p: _add(p, DELETE, "D") for p in ("k0", "k1", "k2", "k3")}
+    user = ", ".join(f"{keep[p, 'u']}, {rerole[p]}" for p in ("k0", "k1", "k3"))
+    return f"""
+WITH RECURSIVE bits(i, c, k) AS (
+  SELECT i, i, 0 FROM (SELECT unnest(range(256)) AS i)
+  UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8
+), crcs AS (SELECT list(c ORDER BY i) AS steps FROM bits WHERE k = 8),
+given AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS told FROM conversations
+), hashed AS (
+  SELECT given.*, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(told, ''), lambda s: CAST(ord(s) AS BIGINT))),
+    lambda a, b: xor(a >> 8, steps[(xor(a, b) & 255) + 1])), 4294967295) % 20 AS harm FROM given, crcs
+), harmed AS (
+  SELECT conv_id, turn, CASE WHEN harm = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN harm = 1 THEN '' WHEN harm = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, copy
+  FROM hashed, (VALUES (1), (2)) AS v(copy) WHERE harm <> 0 AND (copy = 1 OR harm = 3)
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS place FROM harmed
+), judged AS (
+  SELECT *, substr(role, 1, 1) AS initial, CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 'blank'
+    WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY place) > 1 THEN 'duplicate'
+    WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*$') THEN 'truncated' ELSE '' END AS fault,
+    lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY place) AS before FROM placed
+), walk(conv_id, place, k0, k1, k2, k3) AS (
+  SELECT DISTINCT conv_id, CAST(0 AS BIGINT), '000000000', CAST(NULL AS VARCHAR), '000000002I', '000000004II' FROM judged
+  UNION ALL SELECT conv_id, place, n0, n1, c2, least(n3, {insert['c2']}) FROM (
+    SELECT *, least(n2, {insert['n0']}, {insert['n1']}, {insert['n3']}) AS c2 FROM (
+      SELECT conv_id, place, {drop['k0']} AS n0, least({drop['k1']}, {keep['k0', 's']}) AS n1, least({drop['k2']}, {user}) AS n2,
+        least({drop['k3']}, {keep['k2', 'a']}, {rerole['k2']}) AS n3
+      FROM (SELECT w.*EXCLUDE (place), j.place, j.initial, j.fault NOT IN ('blank', 'duplicate') AS free, CASE j.fault WHEN 'truncated' THEN {CUT_SHORT} ELSE 0 END AS short
+        FROM walk w JOIN judged j ON j.conv_id IS NOT DISTINCT FROM w.conv_id AND j.place = w.place + 1)))
+), best AS (
+  SELECT conv_id, CAST(substr(key, 1, 9) AS BIGINT) AS cost, substr(key, 10) AS audit FROM (SELECT conv_id, arg_max(least(k0, k3), place) AS key FROM walk GROUP BY conv_id)
+), letters AS (
+  SELECT conv_id, audit, spot, substr(audit, spot, 1) AS letter, length(replace(substr(audit, 1, spot), 'I', '')) AS row_,
+    length(replace(substr(audit, 1, spot), 'D', '')) - length(replace(audit, 'D', '')) % 2 AS turn_
+  FROM (SELECT conv_id, audit, CAST(unnest(range(1, length(audit) + 1)) AS INT) AS spot FROM best)
+), lines AS (
+  SELECT l.conv_id, spot, CASE WHEN letter = 'K' THEN role WHEN turn_ % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN letter = 'I' THEN '' ELSE text END AS line
+  FROM letters l LEFT JOIN judged j ON j.conv_id IS NOT DISTINCT FROM l.conv_id AND j.place = l.row_ WHERE letter <> 'D'
+), hashes AS (SELECT conv_id, sha256(string_agg(line, chr(10) ORDER BY spot)) AS hash FROM lines GROUP BY conv_id),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+    count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (before || initial NOT IN ('su', 'ua', 'au')) AS illegal FROM judged GROUP BY conv_id
+)
+SELECT o.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, coalesce(hash, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN hashes h ON h.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+
 QUERIES = {"op13_turn_repair": op13_turn_repair}
-ORACLES: dict[str, str] = {}
+ORACLES = {"op13_turn_repair": _oracle()}
