@@ -1,8 +1,9 @@
 """URL filter lists whose entries have dates: every capture is judged by the entries that were active when it was fetched.
 
-Entries of a key follow each other; each is valid until the next one. Captures meet entries by key and day only: for every day
-on which a key has captures or entries, its first piece carries in the last entry of the days before. So
-neither a key with very many captures nor one with a long history makes a capture look at more than one day's entries.
+An entry is valid from its time until the next entry of its key: validity intervals lie one after another. So captures and entries are put into one order
+of (key, time), in which the entry that is valid for a capture is the last one before it. The order is dealt out by ranges of about as many rows each, whatever keys
+and days they belong to, and each range carries in the last entry of the ranges before it. No capture is paired with an entry that does not decide about it, and
+a key with a third of all captures and entries lies in a third of the ranges.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from slicehouse.llm.common import persisted, quoted, read_table
+from slicehouse.llm.common import parallelism, persisted, quoted, read_table
 
 REMOVED = "remove"
 
@@ -29,33 +30,29 @@ def list_keys(url: Column) -> Column:
     ).otherwise(F.array().cast("array<string>"))
 
 
-def day_pieces(entries: DataFrame, days: DataFrame) -> DataFrame:
-    """The validity intervals of the entries, cut at midnight, for the given (key, day): key, day, since, until, entry_id, action.
+def as_of(asked: DataFrame, entries: DataFrame) -> DataFrame:
+    """Each row of ``asked`` (key, at, row, depth) with ``entry``, the struct (entry_id, action) of the entry of its key that is valid at its time, or null.
 
     ``entries`` has key, at (timestamp without zone), entry_id and action. Entries without key or time are void; of entries of one key at
-    one time the one with the largest id (then action) counts.
+    one time the one with the largest id (then action) counts. An entry is valid from its very moment on.
     """
     kept = (
-        entries.filter("key IS NOT NULL AND at IS NOT NULL")
-        .groupBy("key", "at")
-        .agg(F.max(F.struct("entry_id", "action")).alias("entry"))
-        .withColumn("day", F.col("at").cast("date"))
+        entries.filter("key IS NOT NULL AND at IS NOT NULL").groupBy("key", "at").agg(F.max(F.struct("entry_id", "action")).alias("entry"))
     )
-    last = kept.groupBy("key", "day").agg(F.max_by("entry", "at").alias("entry"))
-    none = F.lit(None).cast(dict(last.dtypes)["entry"])
-    known = last.unionByName(days.select("key", "day", none.alias("entry"))).groupBy("key", "day").agg(F.max("entry").alias("entry"))
-    before = Window.partitionBy("key").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
-    carried = known.select(
-        "key", "day", F.col("day").cast("timestamp_ntz").alias("at"), F.last("entry", ignorenulls=True).over(before).alias("entry")
-    ).filter("entry IS NOT NULL")
-    # An entry at midnight itself leaves no time to what is carried in.
-    pieces = kept.select("key", "day", "at", "entry", F.lit(1).alias("own")).unionByName(carried.withColumn("own", F.lit(0)))
-    order = Window.partitionBy("key", "day").orderBy("at", "own")
-    until = F.coalesce(F.lead("at").over(order), F.date_add("day", 1).cast("timestamp_ntz"))
-    return (
-        pieces.select("key", "day", F.col("at").alias("since"), until.alias("until"), "entry.entry_id", "entry.action")
-        .filter("since < until")
+    none = F.lit(None).cast(dict(kept.dtypes)["entry"])
+    events = kept.select("key", "at", F.lit(-1).cast("bigint").alias("row"), F.lit(0).alias("depth"), "entry").unionByName(
+        asked.select("key", "at", "row", "depth", none.alias("entry"))
     )
+    # Rows count from 0, so that an entry comes before the captures of its own moment. The ranges are written, as a second sample would cut them elsewhere.
+    dealt = events.repartitionByRange(parallelism(asked), "key", "at", "row")
+    dealt = persisted(dealt.withColumn("range", F.spark_partition_id()))
+    last = dealt.filter("entry IS NOT NULL").groupBy("key", "range").agg(F.max_by("entry", "at").alias("last"))
+    spread = dealt.select("key", "range").distinct().join(last, ["key", "range"], "left")
+    before = Window.partitionBy("key").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    carried = spread.select("key", "range", F.last("last", ignorenulls=True).over(before).alias("carried")).filter("carried IS NOT NULL")
+    own = Window.partitionBy("range", "key").orderBy("at", "row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    judged = dealt.withColumn("entry", F.last("entry", ignorenulls=True).over(own)).filter("row >= 0")
+    return judged.join(carried, ["range", "key"], "left").select("key", "at", "row", "depth", F.coalesce("entry", "carried").alias("entry"))
 
 
 def filter_captures(captures: DataFrame, entries: DataFrame, id: str = "page_id", url: str = "url", fetched: str = "fetched_at") -> DataFrame:
@@ -73,15 +70,14 @@ def filter_captures(captures: DataFrame, entries: DataFrame, id: str = "page_id"
             quoted(fetched).cast("timestamp_ntz").alias("fetched_at"),
         )
     )
-    asked = rows.select("row", "fetched_at", F.posexplode(list_keys(F.col("url"))).alias("depth", "key")).withColumn(
-        "day", F.col("fetched_at").cast("date")
-    ).filter("day IS NOT NULL")
-    pieces = day_pieces(entries, asked.select("key", "day").distinct())
+    asked = rows.filter("fetched_at IS NOT NULL").select(
+        "row", F.col("fetched_at").alias("at"), F.posexplode(list_keys(F.col("url"))).alias("depth", "key")
+    )
     active = (
-        asked.join(pieces, ["key", "day"])
-        .filter((F.col("since") <= F.col("fetched_at")) & (F.col("fetched_at") < F.col("until")) & (F.col("action") != REMOVED))
+        as_of(asked, entries)
+        .filter(F.col("entry.action") != REMOVED)
         .groupBy("row")
-        .agg(F.min_by(F.struct("key", "entry_id", "action"), "depth").alias("found"))
+        .agg(F.min_by(F.struct("key", "entry.entry_id", "entry.action"), "depth").alias("found"))
     )
     return rows.join(active, "row", "left").select(
         "page_id",
