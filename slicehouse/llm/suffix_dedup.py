@@ -18,11 +18,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slicehouse.llm.common import free_shuffles, parallelism, persisted, quoted, read_table, small_batches, text_of
+from slicehouse.llm.common import discard, free_shuffles, parallelism, persisted, quoted, read_table, small_batches, text_of
 from slicehouse.llm.suffix_order import suffix_order
 
 LENGTH = 50
@@ -82,7 +83,18 @@ def _bytes(value: pa.Scalar) -> bytes:
     return value.as_buffer().to_pybytes()
 
 
-def frequent_anchors(texts: DataFrame, share: float = FREQUENT) -> np.ndarray:
+def anchor_sets(texts: DataFrame) -> DataFrame:
+    """One row (row, anchors) for each text, with its different anchors in order. It is written, as two steps read it."""
+
+    def work(batches: Iterator[pa.RecordBatch]):
+        for batch in small_batches(batches, 128):
+            found = [anchor_set(_bytes(value)) for value in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["row", "anchors"])
+
+    return persisted(texts.select("row", "text").mapInArrow(work, "row bigint, anchors array<bigint>"))
+
+
+def frequent_anchors(sets: DataFrame, share: float = FREQUENT) -> np.ndarray:
     """Anchors of at least two texts among which are all that ``share`` of all texts have.
 
     Every task reports what half of this share of its own texts have. What the reports sum up to half the share of
@@ -99,7 +111,7 @@ def frequent_anchors(texts: DataFrame, share: float = FREQUENT) -> np.ndarray:
 
         for batch in small_batches(batches):
             for value in batch.column(0):
-                held.append(anchor_set(_bytes(value)))
+                held.append(value.values.to_numpy())
                 rows += 1
                 if sum(map(len, held[-64:])) > 1 << 20 or rows % 4096 == 0 and sum(map(len, held)) > 1 << 21:
                     yield flush()
@@ -109,7 +121,7 @@ def frequent_anchors(texts: DataFrame, share: float = FREQUENT) -> np.ndarray:
             yield flush()
             yield pa.RecordBatch.from_pydict({"anchor": [0], "n": pa.array([0], pa.int64()), "texts": pa.array([rows], pa.int64())})
 
-    sums = persisted(texts.select("text").mapInArrow(report, "anchor bigint, n bigint, texts bigint").groupBy("anchor").agg(F.sum("n").alias("n"), F.sum("texts").alias("texts")))
+    sums = persisted(sets.select("anchors").mapInArrow(report, "anchor bigint, n bigint, texts bigint").groupBy("anchor").agg(F.sum("n").alias("n"), F.sum("texts").alias("texts")))
     total = sums.agg(F.sum("texts")).first()[0] or 0
     return np.sort(np.array([row.anchor for row in sums.filter(F.col("n") >= F.greatest(F.lit(2.0), F.lit(share / 2 * total))).select("anchor").collect()], np.int64))
 
@@ -121,17 +133,17 @@ def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
 
 
-def shared_anchors(texts: DataFrame, frequent) -> DataFrame:
+def shared_anchors(sets: DataFrame, frequent) -> DataFrame:
     """One row (row, anchors) for each text with anchors that other texts have too, without the frequent ones."""
 
     def cut(batches: Iterator[pa.RecordBatch]):
         for batch in small_batches(batches):
-            found = [anchor_set(_bytes(value)) for value in batch.column(1)]
+            found = [value.values.to_numpy() for value in batch.column(1)]
             found = [own[~_among(own, frequent.value)] for own in found]
             rows = np.repeat(batch.column(0).to_numpy(), [len(own) for own in found])
             yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(np.concatenate(found))], ["row", "anchor"])
 
-    pairs = texts.select("row", "text").mapInArrow(cut, "row bigint, anchor bigint")
+    pairs = sets.mapInArrow(cut, "row bigint, anchor bigint")
     counted = pairs.select("row", "anchor", F.expr("count(*) OVER (PARTITION BY anchor)").alias("n")).filter("n > 1")
     return counted.groupBy("row").agg(F.sort_array(F.collect_list("anchor")).alias("anchors"))
 
@@ -224,7 +236,16 @@ def solved(distinct: DataFrame) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]):
         for shard in shards(batches):
-            found = least_ranks(shard.column("bytes").to_pylist(), shard.column("rank").to_numpy())
+            anchor, ranks, contents = shard.column("anchor").to_numpy(), shard.column("rank").to_numpy(), shard.column("bytes")
+            same = anchor[1:] == anchor[:-1]
+            several = np.concatenate((same, [False])) | np.concatenate(([False], same))
+            # The strings of an anchor's only segment occur nowhere else: its own rank is the answer.
+            sizes = pc.binary_length(contents).to_numpy()
+            found = [[(0, size - LENGTH + 1, rank)] for size, rank in zip(sizes.tolist(), ranks.tolist())]
+            places = np.flatnonzero(several)
+            if len(places):
+                for place, own in zip(places.tolist(), least_ranks(contents.take(places).to_pylist(), ranks[places])):
+                    found[place] = own
             rows = [[{"start": a, "stop": b, "least": c} for a, b, c in own] for own in found]
             names = ["segment", "runs"]
             yield from pa.table([shard.column("segment"), pa.array(rows, runs)], names).to_batches()
@@ -238,9 +259,11 @@ def repeated_strings(texts: DataFrame) -> DataFrame:
     ``texts`` has row (unique), rank (bigint) and text (binary).
     """
     spark = texts.sparkSession
-    frequent = spark.sparkContext.broadcast(frequent_anchors(texts))
+    sets = anchor_sets(texts)
+    frequent = spark.sparkContext.broadcast(frequent_anchors(sets))
     free_shuffles(spark)
-    shared = persisted(shared_anchors(texts, frequent))
+    shared = persisted(shared_anchors(sets, frequent))
+    discard(sets)
     free_shuffles(spark)
     parts = persisted(segments(texts, shared, frequent))
     free_shuffles(spark)
