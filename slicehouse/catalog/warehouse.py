@@ -17,6 +17,7 @@ from slicehouse.session import scratch_folder, scratch_name
 from slicehouse.sinks.warehouse import (
     append_rows,
     create_table_if_absent,
+    land_or_reject,
     overwrite_slice,
     overwrite_slices,
     overwrite_table,
@@ -127,6 +128,29 @@ def replace_unpartitioned(spark: SparkSession, folder: str) -> DataFrame:
     return spark.table(name)
 
 
+def rejected_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts landed as numbers and days: what fits, and beside it the values that do not."""
+    name, rejects = _new_table(spark, "typed", "event_id bigint, worth int, day date", ("pt",)), scratch_name(spark, "rejects")
+    kind = F.col("event_type")
+    worth = F.when(kind == "view", "").when(kind == "click", F.col("props")).otherwise(F.col("event_id").cast("string"))
+    day = F.when(F.col("user_id") % 3 != 0, F.date_format("ts", "yyyy-MM-dd")).when(F.col("user_id") % 2 == 0, F.date_format("ts", "dd.MM.yyyy"))
+    rows = table(spark, folder, "events").select("event_id", worth.alias("given"), day.alias("day"))
+    for _ in range(2):
+        land_or_reject(rows, name, rejects, {"worth": "given"}, pt="20240131")
+    landed = spark.table(name).select("event_id", F.lit("landed").alias("went"), F.concat_ws("/", F.col("worth").cast("string"), F.col("day").cast("string")).alias("value"))
+    lost = spark.table(rejects).select(F.get_json_object("source", "$.event_id").cast("bigint").alias("event_id"), F.explode("errors").alias("e"))
+    return landed.union(lost.select("event_id", F.concat(F.lit("rejected "), F.col("e.column")), "e.value"))
+
+
+def grown_table(spark: SparkSession, folder: str) -> DataFrame:
+    """A slice from before two columns came to the source, and one from after."""
+    customers, name = table(spark, folder, "customer"), scratch_name(spark, "grown")
+    import_rows(customers.select("c_custkey", "c_nationkey"), ImportSpec(name, "customer", pt="20240101"))
+    wider = customers.select("c_custkey", "c_nationkey", "c_name", F.col("c_mktsegment").alias("segment"))
+    import_rows(wider, ImportSpec(name, "customer", pt="20240102", extra="add"))
+    return spark.table(name)
+
+
 def create_if_absent(spark: SparkSession, folder: str) -> DataFrame:
     """An ORC table made from the landed schema of the orders, with comments, and filled; shown with a comment read back."""
     orders = table(spark, folder, "orders")
@@ -243,6 +267,8 @@ QUERIES = {
     "partition_condition": partition_condition,
     "static_overwrite": static_overwrite,
     "full_overwrite": full_overwrite,
+    "rejected_rows": rejected_rows,
+    "grown_table": grown_table,
     "append_slice": append_slice,
     "dynamic_overwrite": dynamic_overwrite,
     "mixed_overwrite": mixed_overwrite,
@@ -306,3 +332,12 @@ UNION ALL SELECT (SELECT count(*) FROM (SELECT DISTINCT s_suppkey, s_name FROM s
     + " UNION ALL "
     + _SNAPSHOT.format(batch="2024010206", now="2024-01-02 06:00:00"),
 }
+_GIVEN = """SELECT event_id, CASE event_type WHEN 'view' THEN '' WHEN 'click' THEN props ELSE CAST(event_id AS VARCHAR) END AS worth,
+  CASE WHEN user_id % 3 <> 0 THEN strftime(ts, '%Y-%m-%d') WHEN user_id % 2 = 0 THEN strftime(ts, '%d.%m.%Y') END AS day FROM events"""
+ORACLES["rejected_rows"] = f"""WITH g AS ({_GIVEN}), t AS (SELECT *, TRY_CAST(worth AS INT) AS w, TRY_CAST(day AS DATE) AS d FROM g),
+lost AS (SELECT event_id, 'rejected worth' AS went, worth AS value FROM t WHERE worth IS NOT NULL AND w IS NULL
+  UNION ALL SELECT event_id, 'rejected day', day FROM t WHERE day IS NOT NULL AND d IS NULL)
+SELECT event_id, 'landed' AS went, concat_ws('/', CAST(w AS VARCHAR), CAST(d AS VARCHAR)) AS value FROM t WHERE event_id NOT IN (SELECT event_id FROM lost)
+UNION ALL SELECT * FROM lost"""
+ORACLES["grown_table"] = """SELECT c_custkey, c_nationkey, NULL AS c_name, NULL AS segment, '20240101' AS pt FROM customer
+UNION ALL SELECT c_custkey, c_nationkey, c_name, c_mktsegment, '20240102' FROM customer"""

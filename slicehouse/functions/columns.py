@@ -9,11 +9,19 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
+    ArrayType,
     BooleanType,
     ByteType,
     CharType,
+    DataType,
     DateType,
+    DecimalType,
+    DoubleType,
+    FloatType,
     IntegerType,
+    LongType,
+    MapType,
+    NullType,
     ShortType,
     StringType,
     StructField,
@@ -109,9 +117,32 @@ def mapped_sources(rows: DataFrame, mapping: Mapping[str, str | Column] | None)
 
 def refuse_extra(rows: DataFrame, target: StructType, mapping: Mapping[str, str | Column] | None, table: str) -> None:
     """An error if the source has columns that neither the target nor the mapping takes, as when a column was added to it."""
+    if extra := extra_columns(rows, target, mapping):
+        raise ValueError(f"{table} has no columns for {extra}; give extra='drop' to leave them out, or extra='add' to add them")
+
+
+def extra_columns(rows: DataFrame, target: StructType, mapping: Mapping[str, str | Column] | None) -> list[str]:
+    """The source's columns that neither the target nor the mapping takes."""
     taken = {name.lower() for name in target.fieldNames()} | mapped_sources(rows, mapping)
-    if extra := [name for name in rows.columns if name.lower() not in taken and name.lower() != "pt"]:
-        raise ValueError(f"{table} has no columns for {extra}; give extra='drop' to leave them out")
+    return [name for name in rows.columns if name.lower() not in taken and name.lower() != "pt"]
+
+
+def holds(target: DataType, source: DataType) -> bool:
+    """Whether a column of one type can hold all values of another one without loss."""
+    if source == target or isinstance(source, NullType):
+        return True
+    if isinstance(target, StringType):
+        return not isinstance(source, (ArrayType, MapType, StructType))
+    digits = {ByteType: 3, ShortType: 5, IntegerType: 10, LongType: 19}
+    if own := digits.get(type(source)):
+        if type(target) in digits:
+            return digits[type(target)] > own
+        return isinstance(target, DecimalType) and target.precision - target.scale >= own or isinstance(target, DoubleType) and own <= 10
+    if isinstance(source, DecimalType):
+        return isinstance(target, DecimalType) and target.scale >= source.scale and target.precision - target.scale >= source.precision - source.scale
+    if isinstance(source, FloatType):
+        return isinstance(target, DoubleType)
+    return isinstance(source, DateType) and isinstance(target, (TimestampType, TimestampNTZType))
 
 
 def conform(rows: DataFrame, target: StructType, mapping: Mapping[str, str | Column] | None = None) -> DataFrame:
@@ -125,6 +156,37 @@ def conform(rows: DataFrame, target: StructType, mapping: Mapping[str, str | Col
     )
 
 
+#: The type of what is kept of values that do not fit.
+ERRORS = "array<struct<column:string,value:string,type:string>>"
+
+
+def conform_or_reject(
+    rows: DataFrame, target: StructType, mapping: Mapping[str, str | Column] | None = None, errors: str = "errors", source: str = "source"
+) -> DataFrame:
+    """``conform``, but a value that does not fit its column's type is no error: it becomes null, and ``errors`` lists column, value and type.
+
+    ``source`` has the whole source row as JSON where ``errors`` is not empty, else null. A null in the source fits any column.
+    """
+    names = [field.name for field in target]
+    if clashing := {errors.lower(), source.lower()} & {name.lower() for name in names}:
+        raise ValueError(f"the target has columns {sorted(clashing)}: give others for errors and source")
+    raw, seen = "the source row", map_columns(rows, mapping, target)
+    whole = F.to_json(F.struct(*map(_column, rows.columns)), {"ignoreNullFields": "false"})
+    shaped = map_columns(rows.withColumn(raw, whole), {**(mapping or {}), raw: _column(raw)}, [*names, raw])
+    tried = {to.name: _column(to.name) if seen.schema[to.name].dataType == to.dataType else _column(to.name).try_cast(to.dataType) for to in target}
+    lost = [
+        F.when(
+            _column(to.name).isNotNull() & tried[to.name].isNull(),
+            F.struct(F.lit(to.name).alias("column"), _column(to.name).cast("string").alias("value"), F.lit(to.dataType.simpleString()).alias("type")),
+        )
+        for to in target
+        if seen.schema[to.name].dataType != to.dataType
+    ]
+    found = F.array_compact(F.array(*lost)) if lost else F.array().cast(ERRORS)
+    kept = F.when(F.size(found) > 0, _column(raw))
+    return shaped.select(*[tried[name].alias(name) for name in names], found.alias(errors), kept.alias(source))
+
+
 def mapping_from_text(mapping: str | None) -> dict[str, str]:
     """``target:source|target:source`` as a dict. The source may hold colons, for instance in a time of day."""
     if not mapping or not mapping.strip():

@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from slicehouse import text
-from slicehouse.functions.columns import align_to, conform, filter_with, marked_with
-from slicehouse.session import scratch_name
+from slicehouse.functions.columns import ERRORS, align_to, conform, conform_or_reject, filter_with, holds, marked_with
+from slicehouse.session import scratch_name, written
 from slicehouse.sources.warehouse import data_schema, partition_columns
 
 
@@ -42,11 +42,7 @@ def create_table_if_absent(
     have = {field.name.lower() for field in schema}
     fields = [*schema, *[StructField(key, StringType()) for key in partition_by if key.lower() not in have]]
 
-    def declared(field: StructField) -> str:
-        note = (field.metadata or {}).get("comment")
-        return f"{text.column(field.name)} {field.dataType.simpleString()}" + (f" COMMENT {text.literal(note)}" if note else "")
-
-    clauses = [f"CREATE TABLE IF NOT EXISTS {text.name(table)} ({', '.join(map(declared, fields))}) USING {format}"]
+    clauses = [f"CREATE TABLE IF NOT EXISTS {text.name(table)} ({', '.join(map(_declared, fields))}) USING {format}"]
     if partition_by:
         clauses.append(f"PARTITIONED BY ({', '.join(map(text.column, partition_by))})")
     if location:
@@ -57,6 +53,11 @@ def create_table_if_absent(
     return True
 
 
+def _declared(field: StructField) -> str:
+    note = (field.metadata or {}).get("comment")
+    return f"{text.column(field.name)} {field.dataType.simpleString()}" + (f" COMMENT {text.literal(note)}" if note else "")
+
+
 def _insert(rows: DataFrame, table: str, mode: str | None, partition: str = "") -> None:
     """``mode`` is static or dynamic for an overwrite, None for an append. Columns go by name."""
     head = f"INSERT INTO {text.name(table)}"
@@ -237,6 +238,45 @@ def _empty_slice(spark: SparkSession, table: str, slice_: Mapping[str, object])
     _insert(spark.createDataFrame([], data_schema(spark, table)), table, "static", _spec(slice_))
 
 
+#: What a table of rejects has beside its slices: what did not fit, and the whole source row as JSON.
+REJECTS = f"errors {ERRORS}, source string"
+
+
+def land_or_reject(
+    rows: DataFrame, table: str, rejects: str, mapping: Mapping[str, str | Column] | None = None, at: Mapping[str, object] | None = None, **named: object
+) -> tuple[int, int]:
+    """Replace one slice of a table by the rows that fit its columns, and the same slice of ``rejects`` by those that do not.
+
+    Returns how many went where; together they are all rows. The source is read once: its rows are written aside with what does not fit, and both slices
+    are made from that. The table of rejects is made if it is not there. Its slice is written first, so what has landed is never without it.
+    """
+    spark, slice_ = rows.sparkSession, {**(at or {}), **named}
+    _require_partitions(spark, table, list(slice_))
+    create_table_if_absent(spark, rejects, StructType.fromDDL(REJECTS), list(slice_), "parquet")
+    judged = written(conform_or_reject(rows, data_schema(spark, table), mapping, "errors of the row", "source of the row"))
+    fits = F.size("errors of the row") == 0
+    lost = judged.where(~fits).select(F.col("errors of the row").alias("errors"), F.col("source of the row").alias("source"))
+    rejected = overwrite_slice(lost, rejects, at=slice_)
+    return overwrite_slice(judged.where(fits).drop("errors of the row", "source of the row"), table, at=slice_), rejected
+
+
+def grow_table(spark: SparkSession, table: str, fields: Sequence[StructField]) -> list[str]:
+    """Add columns that a table lacks, by name without regard to case; returns their names. Slices from before read null in them.
+
+    A column that it has must be able to hold what comes: a narrower type raises before anything is changed.
+    """
+    have = {field.name.lower(): field for field in spark.table(table).schema}
+    narrow = [field for field in fields if field.name.lower() in have and not holds(have[field.name.lower()].dataType, field.dataType)]
+    if narrow:
+        told = [f"{field.name} {have[field.name.lower()].dataType.simpleString()} for {field.dataType.simpleString()}" for field in narrow]
+        raise ValueError(f"{table} has columns too narrow for what comes: {', '.join(told)}")
+    new = [field for field in fields if field.name.lower() not in have]
+    if new:
+        spark.sql(f"ALTER TABLE {text.name(table)} ADD COLUMNS ({', '.join(map(_declared, new))})")
+        spark.catalog.refreshTable(table)
+    return [field.name for field in new]
+
+
 def overwrite_slices(
     rows: DataFrame,
     table: str,
