@@ -240,15 +240,19 @@ def solved(distinct: DataFrame) -> DataFrame:
             same = anchor[1:] == anchor[:-1]
             several = np.concatenate((same, [False])) | np.concatenate(([False], same))
             # The strings of an anchor's only segment occur nowhere else: its own rank is the answer.
-            sizes = pc.binary_length(contents).to_numpy()
-            found = [[(0, size - LENGTH + 1, rank)] for size, rank in zip(sizes.tolist(), ranks.tolist())]
+            sizes = pc.binary_length(contents).to_numpy().astype(np.int64)
             places = np.flatnonzero(several)
+            found = least_ranks(contents.take(places).to_pylist(), ranks[places]) if len(places) else []
+            counts = np.ones(len(anchor), np.int64)
+            counts[places] = np.fromiter(map(len, found), np.int64, len(found))
+            whole = np.stack((np.zeros(len(anchor), np.int64), sizes - LENGTH + 1, ranks), 1)
+            flat = np.repeat(whole, counts, axis=0)
             if len(places):
-                for place, own in zip(places.tolist(), least_ranks(contents.take(places).to_pylist(), ranks[places])):
-                    found[place] = own
-            rows = [[{"start": a, "stop": b, "least": c} for a, b, c in own] for own in found]
-            names = ["segment", "runs"]
-            yield from pa.table([shard.column("segment"), pa.array(rows, runs)], names).to_batches()
+                flat[np.repeat(several, counts)] = np.array([run for own in found for run in own], np.int64).reshape(-1, 3)
+            values = pa.StructArray.from_arrays([pa.array(column) for column in flat.T.copy()], fields=list(runs.value_type))
+            offsets = pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32))
+            rows = pa.ListArray.from_arrays(offsets, values)
+            yield from pa.table([shard.column("segment"), rows], ["segment", "runs"]).to_batches()
 
     return dealt.select("anchor", "segment", "rank", "bytes").mapInArrow(work, "segment binary, runs array<struct<start: bigint, stop: bigint, least: bigint>>")
 
