@@ -3,10 +3,12 @@
 All pages of a host are merged into one tree: a node is a path of elements with their classes, as it occurs in
 pages. A node knows in how many pages it occurs and how its presentation (its sequence of children) and its content (the text
 below it) vary over them, as entropies between 0 (the same everywhere) and 1 (different everywhere). The larger one is its
-importance. A node in several pages with low importance belongs to the site and not to a page, and is cut off.
+importance. A node in several pages with low importance belongs to the site and not to a page, and is cut off: anywhere in pages
+without an article, and within the article in all others. Within articles each different article counts as one page, however
+many pages of the host hold a copy of it.
 
-Elements that say what they are (menus, footers, forms and the like, by element, role, class or id) go first, and
-elements that say they are the article bound what is taken, whatever the tree says about copies of it.
+Elements that say what they are (menus, footers, forms and the like, by element, role, class or id) go, too, and
+elements that say they are the article bound what is taken.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slicehouse.llm.common import persisted, quoted, read_table, small_batches
+from slicehouse.llm.common import discard, persisted, quoted, read_table, small_batches
 
 IMPORTANCE = 0.3
 #: Different pages of a host that must have a branch before it is cut.
@@ -65,6 +67,8 @@ PARTS = frozenset(
 #: Names of short previews of other pages, which count where there is an article without such a name.
 TEASERS = frozenset("card cards excerpt preview teaser teasers tile tiles".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Blocks the tree may cut within an article. Headings, items and cells are parts of what holds them: they go with it or stay.
+CUT_WITHIN = BLOCK - HEADINGS - frozenset("body caption dd dt figcaption hr html li tbody td tfoot th thead tr".split())
 #: Ids that name readers' remarks, whatever heading they have.
 REMARKS = frozenset("comment comments commentlist disqus replies reply respond".split())
 _WORD = re.compile(r"[a-z]+")
@@ -250,20 +254,48 @@ def set_paths(root: Node) -> list[Node]:
     return order
 
 
-def style_features(page: str | None) -> dict[int, tuple[int, int]]:
-    """For each path of a page: hashes of its presentation and of its content; elements with the same path count as one."""
-    order = set_paths(parse(page))
+def style_features(page: str | None) -> list[tuple[int, int, int, int, bool]]:
+    """(path, presentation, content, subject, open to a cut) for each path of a page; elements with the same path count as one.
+
+    Presentation and content are hashes. The subject is what counts as one page: for paths within articles a hash of the
+    articles' own text, so that copies of them are told from texts that a site repeats; for all others 0, the page itself.
+    """
+    root = parse(page)
+    order = set_paths(root)
+    bodies = _articles(root, False)
+    inner = {id(node) for body in bodies for node in _elements(body)}
+    subject = _hash("\x1e".join(_own_text(body) for body in bodies)) | 1
     texts: dict[int, str] = {}
-    found: dict[int, tuple[int, int]] = {}
+    found: dict[tuple[int, bool], tuple[int, int]] = {}
+    fit: set[int] = set()
     for node in reversed(order):
         parts = [_SPACE.sub(" ", child) if isinstance(child, str) else texts[id(child)] for child in node.children]
         texts[id(node)] = str(xxhash.xxh3_64_intdigest("\x1f".join(parts).encode("utf-8", "surrogatepass"))) if any(parts) else ""
         kinds = dict.fromkeys(f"{child.tag} {' '.join(child.words)}" for child in node.children if isinstance(child, Node))
         style = xxhash.xxh3_64_intdigest("\x1f".join(kinds).encode())
         content = xxhash.xxh3_64_intdigest(texts[id(node)].encode())
-        old = found.get(node.path, (0, 0))
-        found[node.path] = ((old[0] * 31 + style) & _63, (old[1] * 31 + content) & _63)
-    return found
+        key = node.path, id(node) in inner
+        if texts[id(node)] and (node.tag in CUT_WITHIN if key[1] else not bodies):
+            fit.add(node.path)
+        old = found.get(key, (0, 0))
+        found[key] = ((old[0] * 31 + style) & _63, (old[1] * 31 + content) & _63)
+    return [(path, style, content, subject if within else 0, path in fit) for (path, within), (style, content) in found.items()]
+
+
+def _own_text(body: Node) -> str:
+    """The text of an article without elements that say they are none of it."""
+    parts, work = [], [body]
+    while work:
+        item = work.pop()
+        if isinstance(item, str):
+            parts.append(item)
+        elif item is body or not item.says_noise(True):
+            work.extend(reversed(item.children))
+    return _SPACE.sub(" ", " ".join(parts))
+
+
+def _hash(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) >> 1
 
 
 _63 = (1 << 63) - 1
@@ -275,7 +307,7 @@ def main_text(page: str | None, low: frozenset[int] = frozenset()) -> str:
     set_paths(root)
     bodies = _articles(root, False)
     within = bool(bodies)
-    cut = _cut(root, low) if low and not within else set()
+    cut = _cut(bodies or [root], low, within) if low else set()
     blocks: list[list[str]] = [[]]
     for body in bodies or [root]:
         # Walk without recursion: pages may be nested deeply.
@@ -288,7 +320,10 @@ def main_text(page: str | None, low: frozenset[int] = frozenset()) -> str:
                 blocks[-1].append(item)
             elif item.tag == "br":
                 blocks[-1].append(" ")
-            elif item.says_noise(within) or id(item) in cut:
+            elif id(item) in cut:
+                # What stands before and behind a block stays apart.
+                blocks.extend([[]] if item.tag in BLOCK else [])
+            elif item.says_noise(within):
                 continue
             else:
                 parts = list(reversed(item.children))
@@ -297,21 +332,21 @@ def main_text(page: str | None, low: frozenset[int] = frozenset()) -> str:
     return "\n".join(line for line in lines if line)
 
 
-def _cut(root: Node, low: frozenset[int]) -> set[int]:
-    """The elements to cut in page order: never the root, html or body, nor what holds all the text that is left."""
-    order = _elements(root)
+def _cut(roots: list[Node], low: frozenset[int], within: bool) -> set[int]:
+    """The elements below (and, of several, among) these to cut in page order: never html or body, nor what holds all the text that is left."""
     size: dict[int, int] = {}
-    for node in reversed(order):
+    for node in reversed([node for root in roots for node in _elements(root)]):
         own = sum(len(child.strip()) for child in node.children if isinstance(child, str))
         below = sum(size[id(child)] for child in node.children if isinstance(child, Node))
-        size[id(node)] = 0 if node.says_noise(False) else own + below
-    left, cut, work = size[id(root)], set(), [root]
+        size[id(node)] = 0 if node.says_noise(within) else own + below
+    left, cut, work = sum(size[id(root)] for root in roots), set(), list(reversed(roots))
     while work:
         node = work.pop()
-        if node.path in low and node.tag not in ("", "html", "body") and size[id(node)] < left:
+        fit = node.tag in CUT_WITHIN if within else node.tag not in ("", "html", "body")
+        if node.path in low and fit and 0 < size[id(node)] < left:
             left -= size[id(node)]
             cut.add(id(node))
-        elif not node.says_noise(False):
+        elif not node.says_noise(within):
             work.extend(child for child in reversed(node.children) if isinstance(child, Node))
     return cut
 
@@ -344,21 +379,32 @@ def page_host(url: Column) -> Column:
 
 
 def node_importance(pages: DataFrame) -> DataFrame:
-    """The site style trees of pages (host, html): host, path, n_pages (with the path), importance."""
+    """The site style trees of pages (host, html): host, path, n_pages (with the path; copies of an article once within it), importance."""
+    return _importance(page_paths(pages.select("host", F.monotonically_increasing_id().cast("string").alias("digest"), "html")))
+
+
+def page_paths(pages: DataFrame) -> DataFrame:
+    """``style_features`` of pages (host, digest, html) with their host and digest, from one reading of each page."""
 
     def features(batches: Iterator[pa.RecordBatch]):
         for batch in small_batches(batches, 256):
-            hosts, paths, kinds, values = [], [], [], []
-            for host, page in zip(batch.column(0).to_pylist(), batch.column(1)):
-                for path, pair in style_features(page.as_py()).items():
-                    hosts += (host, host)
-                    paths += (path, path)
-                    kinds += (0, 1)
-                    values += pair
-            arrays = [pa.array(hosts, pa.string()), pa.array(paths, pa.int64()), pa.array(kinds, pa.int32()), pa.array(values, pa.int64())]
-            yield pa.RecordBatch.from_arrays(arrays, ["host", "path", "kind", "value"])
-
-    rows = pages.select("host", "html").mapInArrow(features, "host string, path bigint, kind int, value bigint")
+            rows = [
+                (host, digest, path, style, content, subject or _hash(digest) & ~1, open_)
+                for host, digest, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2))
+                for path, style, content, subject, open_ in style_features(page.as_py())
+            ]
+            if rows:
+                arrays = [pa.array(column, kind) for column, kind in zip(zip(*rows), kinds)]
+                yield pa.RecordBatch.from_arrays(arrays, ["host", "digest", "path", "style", "content", "subject", "open"])
+
+    kinds = [pa.string(), pa.string(), *[pa.int64()] * 4, pa.bool_()]
+    form = "host string, digest string, path bigint, style bigint, content bigint, subject bigint, open boolean"
+    return pages.select("host", "digest", "html").mapInArrow(features, form)
+
+
+def _importance(paths: DataFrame) -> DataFrame:
+    once = paths.select("host", "path", "style", "content", "subject").distinct()
+    rows = once.select("host", "path", F.posexplode(F.array("style", "content")).alias("kind", "value"))
     counts = rows.groupBy("host", "path", "kind", "value").agg(F.count("*").alias("n"))
     sums = counts.groupBy("host", "path", "kind").agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.log(F.col("n").cast("double"))).alias("nlogn"))
     # Minus the sum of p log p, with logarithms to the base m.
@@ -375,24 +421,6 @@ def _different(rows: DataFrame) -> DataFrame:
     return once.select("host", "html", "digest").union(repeated.select("host", "html", "digest"))
 
 
-def _open_paths(pages: DataFrame) -> DataFrame:
-    """(host, digest, path) for the paths of pages (host, html, digest) that have no article or main."""
-
-    def paths(batches: Iterator[pa.RecordBatch]):
-        for batch in small_batches(batches, 256):
-            hosts, digests, found = [], [], []
-            for host, digest, page in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(1)):
-                root = parse(page.as_py())
-                if not _articles(root, False):
-                    own = {node.path for node in set_paths(root)}
-                    hosts += [host] * len(own)
-                    digests += [digest] * len(own)
-                    found += own
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(digests, pa.string()), pa.array(found, pa.int64())], ["host", "digest", "path"])
-
-    return pages.select("host", "html", "digest").mapInArrow(paths, "host string, digest string, path bigint")
-
-
 def _digest() -> Column:
     return F.sha2(F.coalesce("html", F.lit("")), 256)
 
@@ -402,16 +430,18 @@ def extract_text(
 ) -> DataFrame:
     """One row (page_id, url, text) per page: its blocks in page order, one per line, with white space made single.
 
-    Equal pages of a host count once in the tree. A node is cut if at least ``LEAST_PAGES`` different pages
-    have it, however large the host is, and its importance is below ``least``. Null html is
-    empty and gives an empty text; pages without a host form one site. Repeated pages are repeated in the result.
+    Equal pages of a host count once in the tree, and equal articles of a host once within articles. A node is cut if at least
+    ``LEAST_PAGES`` different pages (within articles: articles) have it, however large the host is, and its importance is below
+    ``least``. Null html is empty and gives an empty text; pages without a host form one site. Repeated pages are repeated in the result.
     """
     rows = pages.select(quoted(id).alias("page_id"), quoted(url).alias("url"), quoted(page).alias("html"), page_host(quoted(url)).alias("host"))
-    different = _different(rows)
-    low = node_importance(different).filter((F.col("importance") < least) & (F.col("n_pages") >= LEAST_PAGES)).select("host", "path")
+    # Written, so that pages are read once for the trees and for their lists.
+    paths = persisted(page_paths(_different(rows)))
+    low = _importance(paths).filter((F.col("importance") < least) & (F.col("n_pages") >= LEAST_PAGES)).select("host", "path")
     # Lists are made per page and only where the tree decides, so none grows with its host. Written, so that Spark knows the size and
     # sends small lists to the pages. A hot host's paths are split by adaptive execution, as ``low`` has one row for each.
-    lists = persisted(_open_paths(different).join(low, ["host", "path"]).groupBy("host", "digest").agg(F.collect_list("path").alias("low")))
+    lists = persisted(paths.filter("open").join(low, ["host", "path"]).groupBy("host", "digest").agg(F.collect_list("path").alias("low")))
+    discard(paths)
 
     def work(batches: Iterator[pa.RecordBatch]):
         for batch in small_batches(batches, 256):

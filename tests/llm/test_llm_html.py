@@ -90,3 +90,31 @@ def test_tags_of_any_form():
     assert named("<a title='>' b=\"<i>\">x</A ><br/><p") == [("a", False, " title='>' b=\"<i>\""), ("a", True, " "), ("br", False, "/")]
     assert named('<a title="never closed> <p>text</p>') == [("p", False, ""), ("p", True, "")]
     assert named("<!-- <p> --><!doctype html><?x?></ 3><script>if (a<b) '<p>'</SCRIPT ><i>") == [("i", False, "")]
+
+
+def boxed(text, box="<div class='box'><h3>Join us</h3><p>Write to our house every week</p></div>", menu=""):
+    return f"<body><div>{menu}</div><article><h1>On {text}</h1><p>{text}</p>{box}<p>more of {text}</p></article></body>"
+
+
+def test_the_tree_cuts_within_articles(spark):
+    """A block that no list names goes from the articles of a host that repeats it, and stays where it does not."""
+    pages = [("site", boxed(f"text {i}")) for i in range(6)] + [("few", boxed(f"text {i}")) for i in range(2)]
+    texts = {(row.url.split("/")[2], row.text) for row in extract_text(rows_of(spark, pages)).collect()}
+    kept = "\nJoin us\nWrite to our house every week\n"
+    assert texts == {("site", f"On text {i}\ntext {i}\nmore of text {i}") for i in range(6)} | {("few", f"On text {i}\ntext {i}{kept}more of text {i}") for i in range(2)}
+
+
+def test_copies_of_an_article_are_no_boilerplate(spark):
+    """Pages that hold one article under other menus, adverts and comments count once within it; headings of articles stay."""
+    same = [("copies", boxed("one thing", f"<div class='ad'>ad {i}</div>", f"menu {i}")) for i in range(9)]
+    headed = [("heads", f"<article><h2>Summary</h2><p>text {i}</p><ul><li>Salt</li><li>own {i}</li></ul></article>") for i in range(5)]
+    texts = sorted(row.text for row in extract_text(rows_of(spark, same + headed)).collect())
+    assert texts == ["On one thing\none thing\nmore of one thing"] * 9 + [f"Summary\ntext {i}\nSalt\nown {i}" for i in range(5)]
+
+
+def test_what_a_cut_block_parts_stays_apart():
+    from slicehouse.llm.html_extract import parse, set_paths
+
+    page = "<article>before<div class='x'>box</div>behind<hr>end</article>"
+    low = frozenset(node.path for node in set_paths(parse(page)) if node.tag in ("div", "hr"))
+    assert main_text(page, low) == "before\nbehind\nend"
