@@ -1,17 +1,21 @@
 """Near-duplicates by the exact Jaccard similarity of word shingles, without a pair of the asked-for similarity missed.
 
-Candidates come from prefix filtering: with the shingles of every set in one global order, two sets of similarity ``4 / 5`` or more
-share one of the first ``n // 5 + 1`` shingles of each. The order only decides how many candidates there are: shingles
-whose counter is high come last. The counters are counted over all documents, and there is a fixed number of them. Sizes, places in the order and sketches
-of the sets sort out most candidates, and the rest is confirmed by the exact similarity of the whole sets, in Spark joins.
+Candidates come from SimHash fingerprints of the same shingles first, searched with the Gray-order index of ``simhash`` within ``DISTANCE`` bits and
+among documents of similar length. They are confirmed by the exact similarity of the whole sets, in Spark joins.
+
+No distance finds all pairs of the asked-for similarity. What the index has not connected therefore gets further candidates from prefix filtering: with the
+shingles of every set in one global order, two sets of similarity ``4 / 5`` or more share one of the first ``n // 5 + 1`` shingles of each. The order only
+decides how many candidates there are: shingles whose counter is high come last. The counters are counted over all documents, and there is a fixed number of
+them. Sizes, places in the order and sketches of the sets sort out most candidates, and the rest is confirmed in the same way.
 
 A shingle that very many documents share would give all their pairs. So each document is first compared with one leader of
-each of its shingles; in large groups those not connected yet are then compared with leaders of the largest component. Only what is still not
+each of its shingles that it is not connected with; in large groups those not connected yet are then compared with leaders of the largest component. Only what is still not
 connected is compared with each other.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,11 +24,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from slicehouse.llm import simhash
 from slicehouse.llm.common import discard, free_shuffles, parallelism, persisted, quoted, small_batches, text_of
 from slicehouse.llm.components import connected_components
 from slicehouse.llm.simhash import whole_keys
 
 SHINGLE = 5
+#: Fingerprints so many bits apart are candidates, which agree on two of so many blocks.
+DISTANCE = 8
+BLOCKS = 10
+#: Keys with more fingerprints are divided again.
+HOT_KEY = 20_000
 #: So many counters tell how frequent shingles are, and so many of them are sent at once.
 COUNTERS = 1 << 19
 _BLOCK = 1 << 16
@@ -277,6 +287,18 @@ def _confirmed(pairs: DataFrame, rows: DataFrame, sketches: DataFrame, shingle:
     return found
 
 
+def index_pairs(rows: DataFrame, sketches: DataFrame, shingle: int) -> DataFrame:
+    """Candidates (u, v) from the index of ``simhash``: near nodes by their fingerprints, in classes of sizes of which near sets have the same or the next one."""
+    prints = simhash.fingerprints(rows, "node", "text", shingle).withColumnRenamed("doc_id", "node").dropDuplicates(["node"])
+    own = F.floor(F.log(F.greatest("size", F.lit(1)).cast("double")) / math.log(1.25)).cast("int")
+    classed = prints.join(sketches.select("node", own.alias("own")), "node")
+    both = persisted(classed.select("node", "fp", F.explode(F.array("own", F.col("own") + 1)).alias("class")))
+    pairs = persisted(simhash.near_pairs(both, DISTANCE, BLOCKS, HOT_KEY))
+    discard(both)
+    free_shuffles(rows.sparkSession)
+    return pairs
+
+
 def near_links(rows: DataFrame, shingle: int = SHINGLE, counters: int = COUNTERS) -> DataFrame:
     """(node, root) of the nodes that have another one of similarity 4 / 5 or more, by rows (node, text); equal nodes have equal texts."""
     counts = rows.sparkSession.sparkContext.broadcast(_counts(rows, shingle, counters))
@@ -337,8 +359,16 @@ def near_links(rows: DataFrame, shingle: int = SHINGLE, counters: int = COUNTERS
     def sorted_keys(frame: DataFrame) -> DataFrame:
         return frame.repartition(parallelism(rows), "key").sortWithinPartitions("key", "size")
 
-    first = _confirmed(sorted_keys(keyed).mapInArrow(leaders, "u bigint, v bigint"), rows, sketches, shingle)
-    links = first
+    candidates = index_pairs(rows.join(met, "node", "left_semi"), sketches, shingle)
+    links = _confirmed(candidates, rows, sketches, shingle)
+    discard(candidates)
+    comps = persisted(connected_components(links))
+    led = sorted_keys(keyed).mapInArrow(leaders, "u bigint, v bigint").distinct()
+    for name in ("u", "v"):
+        led = led.join(comps.select(F.col("node").alias(name), F.col("root").alias(f"root_{name}")), name, "left")
+    apart = ~F.col("root_u").eqNullSafe(F.col("root_v")) | F.col("root_u").isNull()
+    links = links.union(_confirmed(led.filter(apart).select("u", "v"), rows, sketches, shingle))
+    discard(comps)
     for pairs in (joining_pairs, open_pairs):
         comps = persisted(connected_components(links))
         named = keyed.join(sketches.select("node", *_ODD), "node").join(comps, "node", "left").select(*names, *_ODD, F.coalesce("root", "node").alias("comp"))

@@ -8,10 +8,14 @@ search adds up the differences on its way down and leaves a group as soon as the
 
 A key with more than ``HOT_KEY`` fingerprints is divided again, by each of three parts of its remaining bits (two fingerprints of the
 key agree on one of them), so at most 2**22 fingerprints share a key, whatever the corpus.
+
+``near_pairs`` searches the same index within any distance, for operators that check the pairs themselves: with so many blocks that two
+rows within the distance agree on some of them.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,8 +34,8 @@ FANOUT = 16
 SEED = 42
 #: Pairs of the four 16-bit blocks.
 BLOCK_PAIRS = [(a, b) for a in range(4) for b in range(a + 1, 4)]
-#: The parts of the 32 bits behind the key: first bit, number of bits.
-REST_PARTS = ((0, 11), (11, 11), (22, 10))
+#: Keys of more rows are searched for rows around a common middle first.
+_LARGE = 256
 _PIECE = 1 << 20
 _QUERIES = 2048
 #: Which of the eight bits a byte value has, highest first.
@@ -89,13 +93,14 @@ def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text", shingl
     return rows.mapInArrow(work, f"doc_id {rows.dtypes[0][1]}, fp bigint")
 
 
-def _turned(fp: Column, pair: tuple[int, int]) -> Column:
-    """The fingerprint with the two blocks moved to its front."""
-    order = [*pair, *(block for block in range(4) if block not in pair)]
-    out = F.lit(0).cast("bigint")
+def _turned(fp: Column, front: tuple[int, ...], blocks: int) -> Column:
+    """The fingerprint with some of its blocks moved to its front; bits behind the last block stay there."""
+    width = 64 // blocks
+    order = [*front, *(block for block in range(blocks) if block not in front)]
+    out = fp.bitwiseAND(F.lit((1 << (64 - width * blocks)) - 1).cast("bigint"))
     for place, block in enumerate(order):
-        bits = F.shiftrightunsigned(fp, 48 - 16 * block).bitwiseAND(F.lit(0xFFFF).cast("bigint"))
-        out = out.bitwiseOR(F.shiftleft(bits, 48 - 16 * place))
+        bits = F.shiftrightunsigned(fp, 64 - width * (block + 1)).bitwiseAND(F.lit((1 << width) - 1).cast("bigint"))
+        out = out.bitwiseOR(F.shiftleft(bits, 64 - width * (place + 1)))
     return out
 
 
@@ -106,41 +111,73 @@ def _gray_rank(bits: Column) -> Column:
     return bits
 
 
-def _packed_key() -> Column:
-    """Pair (3 bits), its blocks (32 bits), part (2 bits) and the bits of the part (11 at most) as one number."""
-    pair, part = F.col("pair").cast("bigint"), F.col("cut.part").cast("bigint") + 1
-    return F.shiftleft(pair, 45) + F.shiftleft("key", 13) + F.shiftleft(part, 11) + F.col("cut.sub")
+def _rest_parts(bits: int, parts: int) -> list[tuple[int, int]]:
+    """The parts of the bits behind a key: first bit, number of bits."""
+    sizes = [bits // parts + (part < bits % parts) for part in range(parts)]
+    return [(sum(sizes[:part]), min(size, 11)) for part, size in enumerate(sizes)]
 
 
-def near_links(distinct: DataFrame, hot_key: int = HOT_KEY) -> DataFrame:
-    """Links (u, v) between the distinct fingerprints (fp) that are at most ``DISTANCE`` bits apart.
+def _dealt(rows: DataFrame, hot_key: int, distance: int, blocks: int) -> DataFrame:
+    """Rows (fp, class, ...) by each choice of blocks that fingerprints within the distance may agree on, as (key, bits, ...) in Gray order.
 
-    Within each key the links are reduced to a star for each of its components, so the number of rows is at
-    most six times (eighteen for hot keys) that of the fingerprints, and no component is lost.
+    Rows meet within their class (0 to 127) only.
     """
-    turned = distinct.select(
-        "fp", F.posexplode(F.array(*[_turned(F.col("fp"), pair) for pair in BLOCK_PAIRS])).alias("pair", "bits")
-    ).withColumn("key", F.shiftrightunsigned("bits", 32))
-    hot = turned.groupBy("pair", "key").count().filter(F.col("count") > hot_key).select("pair", "key", F.lit(True).alias("hot"))
+    choices = list(itertools.combinations(range(blocks), blocks - distance))
+    size = 64 // blocks * (blocks - distance)
+    turned = rows.select(
+        "*", F.posexplode(F.array(*[_turned(F.col("fp"), front, blocks) for front in choices])).alias("choice", "bits")
+    ).withColumn("key", F.shiftrightunsigned("bits", 64 - size))
+    names = ["choice", "class", "key"]
+    hot = turned.groupBy(*names).count().filter(F.col("count") > hot_key).select(*names, F.lit(True).alias("hot"))
     rest = [
         F.struct(
             F.lit(part).alias("part"),
-            F.shiftrightunsigned("bits", 32 - first - size).bitwiseAND(F.lit((1 << size) - 1).cast("bigint")).alias("sub"),
+            F.shiftrightunsigned("bits", 64 - size - first - width).bitwiseAND(F.lit((1 << width) - 1).cast("bigint")).alias("sub"),
         )
-        for part, (first, size) in enumerate(REST_PARTS)
+        for part, (first, width) in enumerate(_rest_parts(64 - size, distance + 1))
     ]
     whole = F.array(F.struct(F.lit(-1).alias("part"), F.lit(0).cast("bigint").alias("sub")))
-    dealt = turned.join(hot, ["pair", "key"], "left").select(
-        "fp", "bits", "pair", "key", F.explode(F.when(F.col("hot"), F.array(*rest)).otherwise(whole)).alias("cut")
-    ).select("fp", "bits", _packed_key().alias("key"))
-    dealt = dealt.repartition(parallelism(distinct), "key").withColumn("rank", _gray_rank(F.col("bits")))
+    cut = F.explode(F.when(F.col("hot"), F.array(*rest)).otherwise(whole)).alias("cut")
+    # The choice (6 bits), the class (7), the blocks' bits (32 at most), the part (4) and its bits (11 at most) as one number.
+    packed = F.shiftleft(F.col("choice").cast("bigint"), 54) + F.shiftleft(F.col("class").cast("bigint"), 47) + F.shiftleft("key", 15)
+    packed = packed + F.shiftleft(F.col("cut.part").cast("bigint") + 1, 11) + F.col("cut.sub")
+    dealt = turned.join(hot, names, "left").select(*rows.columns, "bits", *names, cut).select(*rows.columns, "bits", packed.alias("key"))
+    return dealt.repartition(parallelism(rows), "key").withColumn("rank", _gray_rank(F.col("bits"))).sortWithinPartitions("key", "rank")
+
+
+def near_links(distinct: DataFrame, hot_key: int = HOT_KEY) -> DataFrame:
+    """Links (u, v) between the distinct fingerprints (fp) that are at most ``DISTANCE`` bits apart.
+
+    Within each key the links are reduced to a star for each of its components, so the number of rows is at
+    most six times (eighteen for hot keys) that of the fingerprints, and no component is lost.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]):
         for keys, fps, bits in whole_keys(batches):
             u, v = key_links(keys, bits)
             yield pa.RecordBatch.from_arrays([pa.array(fps[u]), pa.array(fps[v])], ["u", "v"])
 
-    return dealt.sortWithinPartitions("key", "rank").select("key", "fp", "bits").mapInArrow(work, "u bigint, v bigint")
+    dealt = _dealt(distinct.select("fp", F.lit(0).alias("class")), hot_key, DISTANCE, 4)
+    return dealt.select("key", "fp", "bits").mapInArrow(work, "u bigint, v bigint")
+
+
+def near_pairs(rows: DataFrame, distance: int, blocks: int, hot_key: int = HOT_KEY) -> DataFrame:
+    """Pairs (u, v), u < v, of nodes whose fingerprints are at most so many bits apart, by rows (node, fp, class); nodes differ.
+
+    These are candidates for a check that follows, and not all pairs: of rows with equal fingerprints each comes with one of them, of the others each with
+    its nearest ones in every key, or with one in the middle of many. So their number grows with the rows and not with the squares of groups.
+    """
+    distinct = persisted(rows.groupBy("fp", "class").agg(F.min("node").alias("node")))
+
+    def work(batches: Iterator[pa.RecordBatch]):
+        for keys, nodes, bits in whole_keys(batches):
+            u, v = key_pairs(keys, bits, nodes, distance)
+            both = np.unique(np.sort(np.stack((nodes[u], nodes[v]), 1), axis=1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], ["u", "v"])
+
+    found = _dealt(distinct, hot_key, distance, blocks).select("key", "node", "bits").mapInArrow(work, "u bigint, v bigint")
+    equal = rows.join(distinct.withColumnRenamed("node", "least"), ["fp", "class"]).filter("node > least").select(F.col("least").alias("u"), F.col("node").alias("v"))
+    return found.union(equal).distinct()
 
 
 def whole_keys(batches: Iterator[pa.RecordBatch], least: int = 1 << 16):
@@ -217,6 +254,45 @@ def key_links(keys: np.ndarray, bits: np.ndarray, distance: int = DISTANCE) -> t
     return shared[linked], shared[root[linked]]
 
 
+def key_pairs(keys: np.ndarray, bits: np.ndarray, nodes: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of places of rows with the same key at most ``distance`` bits apart; rows are sorted by key and Gray rank. See ``near_pairs``."""
+    same = keys[1:] == keys[:-1]
+    shared = np.flatnonzero(np.concatenate((same, [False])) | np.concatenate(([False], same)))
+    if not len(shared):
+        return shared, shared
+    keys, bits, order = keys[shared], bits[shared].view(np.uint64), nodes[shared].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    left, found = np.ones(len(keys), bool), []
+    starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    for first, count in zip(starts, np.diff(np.append(starts, len(keys)))):
+        rows = np.arange(first, first + count)
+        while len(rows) > _LARGE:
+            middle = np.packbits(2 * np.unpackbits(bits[rows].view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64) > len(rows)).view(np.uint64)
+            off = np.bitwise_count(bits[rows] ^ middle)
+            # One of those around the middle that is the same in most keys.
+            close = rows[off <= max(int(off.min()), distance // 2)]
+            lead = close[order[close].argmin()]
+            near = rows[np.bitwise_count(bits[rows] ^ bits[lead]) <= distance]
+            if 8 * len(near) < len(rows):
+                break
+            others = near[near != lead]
+            left[others] = False
+            found.append((others, np.full(len(others), lead)))
+            rows = rows[left[rows] & (rows != lead)]
+    rest = np.flatnonzero(left)
+    index = GrayIndex(keys[rest], bits[rest])
+    # The nearest one of those before and of those behind each row: bits of distance, place.
+    nearest = np.full((2, len(rest)), np.iinfo(np.int64).max)
+    for start in range(0, len(rest), _QUERIES):
+        a, b = index.search(np.arange(start, min(start + _QUERIES, len(rest))), distance)
+        apart = np.bitwise_count(index.bits[a] ^ index.bits[b]).astype(np.int64) << 40
+        np.minimum.at(nearest[0], a, apart | b)
+        np.minimum.at(nearest[1], b, apart | a)
+    for values in nearest:
+        has = np.flatnonzero(values != np.iinfo(np.int64).max)
+        found.append((rest[has], rest[values[has] & ((1 << 40) - 1)]))
+    return shared[np.concatenate([a for a, _ in found])], shared[np.concatenate([b for _, b in found])]
+
+
 def joined_roots(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The smallest place of each component, when the links a-b are added to components known by their roots."""
     while len(a):

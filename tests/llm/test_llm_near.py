@@ -104,3 +104,38 @@ def test_joining_pairs_are_few():
     comp[::10] = node[::10] + 5000
     pairs = [pair for a, b in near_dedup.joining_pairs(keys, node, size, place, odd, comp) for pair in zip(a.tolist(), b.tolist())]
     assert len({a for a, _ in pairs}) == len(pairs) == (comp != 0).sum() and {comp[b] for _, b in pairs} == {0}
+
+
+def test_candidates_come_from_the_index(spark):
+    """Each document with another one of near size and fingerprint is in a candidate pair of the index, and all pairs are within the distance."""
+    from pyspark.sql import functions as F
+
+    from slicehouse.llm import simhash
+
+    rows = made(3, 25, 6, words=400)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    texts = docs.select(F.col("doc_id").alias("node"), "text")
+    sketches = near_dedup._sketches(texts, 5)
+    pairs = {(row.u, row.v) for row in near_dedup.index_pairs(texts, sketches, 5).collect()}
+    prints = {i: simhash.simhash(text, 5) for i, text in rows}
+    sizes = {i: len(shingles(text)) for i, text in rows}
+    for a in prints:
+        for b in prints:
+            if a < b and (prints[a] ^ prints[b]).bit_count() <= near_dedup.DISTANCE and max(sizes[a], sizes[b]) <= 1.2 * min(sizes[a], sizes[b]):
+                assert any(a in pair for pair in pairs) and any(b in pair for pair in pairs)
+    assert len(pairs) > 50 and all((prints[a] ^ prints[b]).bit_count() <= near_dedup.DISTANCE for a, b in pairs)
+
+
+def test_pairs_of_a_large_key_are_few():
+    """Thousands of fingerprints around one give a pair or two for each row, and none is more bits apart than asked for."""
+    import numpy as np
+
+    from slicehouse.llm.simhash import key_pairs
+
+    rng = np.random.default_rng(7)
+    bits = np.unique(np.uint64(0x0123456789ABCDEF) ^ (np.uint64(1) << rng.integers(0, 50, (4000, 3)).astype(np.uint64)).sum(axis=1, dtype=np.uint64))
+    bits = np.append(bits, rng.integers(0, 1 << 63, 300).astype(np.uint64)).view(np.int64)
+    keys, nodes = np.zeros(len(bits), np.int64), np.arange(len(bits))
+    a, b = key_pairs(keys, bits, nodes, 8)
+    assert (np.bitwise_count((bits[a] ^ bits[b]).view(np.uint64)) <= 8).all() and len(a) <= 3 * len(bits)
+    assert len(set(a.tolist()) | set(b.tolist())) >= len(bits) - 320
