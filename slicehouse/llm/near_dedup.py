@@ -292,7 +292,7 @@ def index_pairs(rows: DataFrame, sketches: DataFrame, shingle: int) -> DataFrame
     prints = simhash.fingerprints(rows, "node", "text", shingle).withColumnRenamed("doc_id", "node").dropDuplicates(["node"])
     own = F.floor(F.log(F.greatest("size", F.lit(1)).cast("double")) / math.log(1.25)).cast("int")
     classed = prints.join(sketches.select("node", own.alias("own")), "node")
-    both = persisted(classed.select("node", "fp", F.explode(F.array("own", F.col("own") + 1)).alias("class")))
+    both = persisted(classed.select("node", "fp", "own", F.explode(F.array("own", F.col("own") + 1)).alias("class")).withColumn("late", F.col("class") > F.col("own")).drop("own"))
     pairs = persisted(simhash.near_pairs(both, DISTANCE, BLOCKS, HOT_KEY))
     discard(both)
     free_shuffles(rows.sparkSession)

@@ -93,22 +93,44 @@ def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text", shingl
     return rows.mapInArrow(work, f"doc_id {rows.dtypes[0][1]}, fp bigint")
 
 
-def _turned(fp: Column, front: tuple[int, ...], blocks: int) -> Column:
-    """The fingerprint with some of its blocks moved to its front; bits behind the last block stay there."""
+def _choices(front: int, blocks: int) -> Column:
+    """One array with a struct for each choice of so many blocks to be moved to a fingerprint's front.
+
+    ``f0``, ``f1``, ... are the masks of its blocks and ``s0``, ... by how much they move up; ``r0``, ``r1``, ... are the masks of the others, which
+    move down past none, one, ... of them. Bits behind the last block stay there. It is one constant, so that plans stay small with any number of choices.
+    """
     width = 64 // blocks
-    order = [*front, *(block for block in range(blocks) if block not in front)]
-    out = fp.bitwiseAND(F.lit((1 << (64 - width * blocks)) - 1).cast("bigint"))
-    for place, block in enumerate(order):
-        bits = F.shiftrightunsigned(fp, 64 - width * (block + 1)).bitwiseAND(F.lit((1 << width) - 1).cast("bigint"))
-        out = out.bitwiseOR(F.shiftleft(bits, 64 - width * (place + 1)))
+    masks = [((1 << width) - 1) << (64 - width * (block + 1)) for block in range(blocks)]
+    structs = []
+    for choice in itertools.combinations(range(blocks), front):
+        rest = [0] * (front + 1)
+        rest[0] = (1 << (64 - width * blocks)) - 1
+        for block in range(blocks):
+            if block not in choice:
+                rest[sum(one > block for one in choice)] |= masks[block]
+        named = {f"f{place}": masks[block] for place, block in enumerate(choice)} | {f"r{past}": mask for past, mask in enumerate(rest)}
+        fields = [f"'{name}', bigint('{mask - (1 << 64) if mask >> 63 else mask}')" for name, mask in named.items()]
+        fields += [f"'s{place}', {width * (block - place)}" for place, block in enumerate(choice)]
+        structs.append(f"named_struct({', '.join(fields)})")
+    return F.expr(f"array({', '.join(structs)})")
+
+
+def _turned(fp: Column, move: Column, front: int, blocks: int) -> Column:
+    """The fingerprint with the blocks of a choice moved to its front; see ``_choices``."""
+    out = fp.bitwiseAND(move["r0"])
+    for past in range(1, front + 1):
+        out = out.bitwiseOR(F.shiftrightunsigned(fp.bitwiseAND(move[f"r{past}"]), 64 // blocks * past))
+    for place in range(front):
+        out = out.bitwiseOR(F.call_function("shiftleft", fp.bitwiseAND(move[f"f{place}"]), move[f"s{place}"]))
     return out
 
 
-def _gray_rank(bits: Column) -> Column:
-    """The place in the Gray sequence: each bit is the parity of the bits above it and itself."""
-    for shift in (1, 2, 4, 8, 16, 32):
-        bits = bits.bitwiseXOR(F.shiftrightunsigned(bits, shift))
-    return bits
+def _gray_ranked(rows: DataFrame) -> DataFrame:
+    """The rows (bits, ...) with their place in the Gray sequence as ``rank``: each bit is the parity of the bits above it and itself."""
+    rows = rows.withColumn("rank", F.col("bits"))
+    for shift in (1, 2, 4, 8, 16, 32):  # one column after the other: each is used twice by the next one
+        rows = rows.withColumn("rank", F.col("rank").bitwiseXOR(F.shiftrightunsigned("rank", shift)))
+    return rows
 
 
 def _rest_parts(bits: int, parts: int) -> list[tuple[int, int]]:
@@ -122,11 +144,11 @@ def _dealt(rows: DataFrame, hot_key: int, distance: int, blocks: int) -> DataFra
 
     Rows meet within their class (0 to 127) only.
     """
-    choices = list(itertools.combinations(range(blocks), blocks - distance))
-    size = 64 // blocks * (blocks - distance)
-    turned = rows.select(
-        "*", F.posexplode(F.array(*[_turned(F.col("fp"), front, blocks) for front in choices])).alias("choice", "bits")
-    ).withColumn("key", F.shiftrightunsigned("bits", 64 - size))
+    front = blocks - distance
+    size = 64 // blocks * front
+    moved = rows.select("*", F.posexplode(_choices(front, blocks)).alias("choice", "move"))
+    turned = moved.select(*rows.columns, "choice", _turned(F.col("fp"), F.col("move"), front, blocks).alias("bits"))
+    turned = turned.withColumn("key", F.shiftrightunsigned("bits", 64 - size))
     names = ["choice", "class", "key"]
     hot = turned.groupBy(*names).count().filter(F.col("count") > hot_key).select(*names, F.lit(True).alias("hot"))
     rest = [
@@ -142,7 +164,7 @@ def _dealt(rows: DataFrame, hot_key: int, distance: int, blocks: int) -> DataFra
     packed = F.shiftleft(F.col("choice").cast("bigint"), 54) + F.shiftleft(F.col("class").cast("bigint"), 47) + F.shiftleft("key", 15)
     packed = packed + F.shiftleft(F.col("cut.part").cast("bigint") + 1, 11) + F.col("cut.sub")
     dealt = turned.join(hot, names, "left").select(*rows.columns, "bits", *names, cut).select(*rows.columns, "bits", packed.alias("key"))
-    return dealt.repartition(parallelism(rows), "key").withColumn("rank", _gray_rank(F.col("bits"))).sortWithinPartitions("key", "rank")
+    return _gray_ranked(dealt.repartition(parallelism(rows), "key")).sortWithinPartitions("key", "rank")
 
 
 def near_links(distinct: DataFrame, hot_key: int = HOT_KEY) -> DataFrame:
@@ -162,24 +184,40 @@ def near_links(distinct: DataFrame, hot_key: int = HOT_KEY) -> DataFrame:
 
 
 def near_pairs(rows: DataFrame, distance: int, blocks: int, hot_key: int = HOT_KEY) -> DataFrame:
-    """Pairs (u, v), u < v, of nodes whose fingerprints are at most so many bits apart, by rows (node, fp, class); nodes differ.
+    """Pairs (u, v), u < v, of nodes whose fingerprints are at most so many bits apart, by rows (node, fp, class, late); nodes differ.
 
     These are candidates for a check that follows, and not all pairs: of rows with equal fingerprints each comes with one of them, of the others each with
     its nearest ones in every key, or with one in the middle of many. So their number grows with the rows and not with the squares of groups.
+
+    ``late`` marks rows that are in the class before, too. Two of them share their key there as well, and each comes with one at least as near from
+    there; so they make no pair with each other once more.
     """
-    distinct = persisted(rows.groupBy("fp", "class").agg(F.min("node").alias("node")))
+    distinct = persisted(rows.groupBy("fp", "class").agg(F.min("node").alias("node"), F.min("late").alias("late")))
 
     def work(batches: Iterator[pa.RecordBatch]):
-        for keys, nodes, bits in whole_keys(batches):
+        for keys, nodes, late, bits in whole_keys(batches):
+            new = not_only_late(keys, late)
+            keys, nodes, late, bits = keys[new], nodes[new], late[new].astype(bool), bits[new]
             u, v = key_pairs(keys, bits, nodes, distance)
+            once = ~(late[u] & late[v])
+            u, v = u[once], v[once]
             both = np.unique(np.sort(np.stack((nodes[u], nodes[v]), 1), axis=1), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], ["u", "v"])
 
-    found = _dealt(distinct, hot_key, distance, blocks).select("key", "node", "bits").mapInArrow(work, "u bigint, v bigint")
-    equal = rows.join(distinct.withColumnRenamed("node", "least"), ["fp", "class"]).filter("node > least").select(F.col("least").alias("u"), F.col("node").alias("v"))
+    found = _dealt(distinct, hot_key, distance, blocks).select("key", "node", "late", "bits").mapInArrow(work, "u bigint, v bigint")
+    least = distinct.filter("not late").select("fp", "class", F.col("node").alias("least"))
+    equal = rows.join(least, ["fp", "class"]).filter("node > least").select(F.col("least").alias("u"), F.col("node").alias("v"))
     return found.union(equal).distinct()
 
 
+def not_only_late(keys: np.ndarray, late: np.ndarray) -> np.ndarray:
+    """Which rows have a row in their key that is not late; rows are sorted by key."""
+    starts = np.flatnonzero(np.concatenate((np.full(min(1, len(keys)), True), keys[1:] != keys[:-1])))
+    if not len(starts):
+        return np.zeros(0, bool)
+    return np.repeat(~np.logical_and.reduceat(late.astype(bool), starts), np.diff(np.append(starts, len(keys))))
+
+
 def whole_keys(batches: Iterator[pa.RecordBatch], least: int = 1 << 16):
     """Arrays of rows in which every key is complete, from sorted batches."""
     held: list[list[np.ndarray]] = []

@@ -139,3 +139,35 @@ def test_pairs_of_a_large_key_are_few():
     a, b = key_pairs(keys, bits, nodes, 8)
     assert (np.bitwise_count((bits[a] ^ bits[b]).view(np.uint64)) <= 8).all() and len(a) <= 3 * len(bits)
     assert len(set(a.tolist()) | set(b.tolist())) >= len(bits) - 320
+
+
+def test_choices_of_blocks_do_not_grow_the_plan(spark):
+    """The driver plans the index's many choices of blocks as one constant: a plan of a sentence for each choice took half of its memory."""
+    from pyspark.sql import functions as F
+
+    from slicehouse.llm import simhash
+
+    rows = spark.range(10).select(F.col("id").alias("node"), F.xxhash64("id").alias("fp"), F.lit(0).alias("class"))
+    dealt = simhash._dealt(rows, near_dedup.HOT_KEY, near_dedup.DISTANCE, near_dedup.BLOCKS)
+    assert dealt.count() == 10 * 45
+    assert len(dealt._jdf.queryExecution().optimizedPlan().toJSON()) < 250_000
+
+
+def test_rows_meet_once_in_two_classes(spark):
+    """Rows that are all in the class before, too, are not searched again; those that come in with others of their class are."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from slicehouse.llm import simhash
+
+    keys, late = np.array([1, 1, 1, 4, 4, 9]), np.array([True, True, True, True, False, False])
+    assert simhash.not_only_late(keys, late).tolist() == [False, False, False, True, True, True]
+    assert simhash.not_only_late(keys[:0], late[:0]).tolist() == []
+    rows = spark.range(60).select(F.col("id").alias("node"), F.shiftleft(F.lit(1).cast("bigint"), 7).bitwiseXOR(F.col("id").bitwiseAND(3)).alias("fp"), (F.col("id") % 2).cast("int").alias("own"))
+    rows = rows.select("node", "fp", "own", F.explode(F.array("own", F.col("own") + 1)).alias("class")).select("node", "fp", "class", (F.col("class") > F.col("own")).alias("late"))
+    pairs = [(row.u, row.v) for row in simhash.near_pairs(rows, 8, 10).collect()]
+    root = list(range(60))
+    for _ in range(60):
+        for u, v in pairs:
+            root[u] = root[v] = min(root[u], root[v])
+    assert len(set(pairs)) == len(pairs) and set(root) == {0}
