@@ -156,10 +156,15 @@ def segments(texts: DataFrame, shared: DataFrame, frequent) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]):
         names = ["anchor", "segment", "row", "rank", "start", "bytes"]
-        types = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
         met: set[bytes] = set()
+        columns, digests, pieces = [], [], []
+
+        def flush():
+            numbers = np.concatenate(columns, axis=1) if columns else np.zeros((4, 0), np.int64)
+            anchor, row, rank, start = (pa.array(column) for column in numbers)
+            return pa.RecordBatch.from_arrays([anchor, pa.array(digests, pa.binary()), row, rank, start, pa.array(pieces, pa.binary())], names)
+
         for batch in small_batches(batches, 128):
-            columns: list[list] = [[] for _ in names]
             if len(met) > _REMEMBERED:
                 met.clear()
             for row, rank, text, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3)):
@@ -168,48 +173,62 @@ def segments(texts: DataFrame, shared: DataFrame, frequent) -> DataFrame:
                     found = found.view(np.int64)
                     starts = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1])))
                     stops = np.append(starts[1:], len(found))
-                    hit = _among(found[starts], known) | _among(found[starts], frequent.value)
-                    for start, stop, anchor in zip(starts[hit].tolist(), stops[hit].tolist(), found[starts[hit]].tolist()):
-                        for begin in range(start, stop, _RUN):
-                            piece = data[base + begin : base + min(begin + _RUN, stop) + LENGTH - 1]
-                            digest = xxhash.xxh3_128_digest(piece)
-                            if digest in met:
-                                piece = None
-                            else:
-                                met.add(digest)
-                            for column, value in zip(columns, (anchor, digest, row, rank, base + begin, piece)):
-                                column.append(value)
-                if len(columns[0]) > 100_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(column, kind) for column, kind in zip(columns, types)], names)
-                    columns = [[] for _ in names]
-            yield pa.RecordBatch.from_arrays([pa.array(column, kind) for column, kind in zip(columns, types)], names)
+                    heads = found[starts]
+                    hit = _among(heads, known) | _among(heads, frequent.value)
+                    starts, stops = starts[hit], stops[hit]
+                    counts = -(-(stops - starts) // _RUN)
+                    begins = np.repeat(starts, counts) + _RUN * (np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts))
+                    ends = np.minimum(begins + _RUN, np.repeat(stops, counts)) + base + LENGTH - 1
+                    begins += base
+                    cuts = [data[begin:end] for begin, end in zip(begins.tolist(), ends.tolist())]
+                    named = list(map(xxhash.xxh3_128_digest, cuts))
+                    for piece, digest in zip(cuts, named):
+                        if digest in met:
+                            pieces.append(None)
+                        else:
+                            met.add(digest)
+                            pieces.append(piece)
+                    digests += named
+                    columns.append(np.stack((np.repeat(heads[hit], counts), np.full(len(begins), row), np.full(len(begins), rank), begins)))
+                if len(digests) > 50_000:
+                    yield flush()
+                    columns, digests, pieces = [], [], []
+        yield flush()
 
     rows = texts.join(shared, "row", "left").select("row", "rank", "text", "anchors")
     return rows.mapInArrow(cut, "anchor bigint, segment binary, row bigint, rank bigint, start bigint, bytes binary")
 
 
-def least_ranks(contents: list[bytes], ranks: np.ndarray) -> list[list[tuple[int, int, int]]]:
-    """For each segment the runs (start, stop, least) of its strings and the smallest rank of a segment of the shard with the same string."""
-    text = np.frombuffer(b"".join(b"\x00" + content for content in contents), np.uint8).astype(np.uint16) + 1
+def segment_runs(contents: list[bytes], ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The answers of ``least_ranks`` as arrays: rows (start, stop, least), segment by segment, and the number of rows of each segment."""
+    text = np.frombuffer(b"\x00" + b"\x00".join(contents), np.uint8).astype(np.uint16) + 1
     sizes = np.fromiter(map(len, contents), np.int64, len(contents))
     begins = np.cumsum(sizes + 1) - sizes
     text[begins - 1] = 0  # what parts the segments is smaller than any byte
     order, common = suffix_order(text, LENGTH)
-    starts = np.concatenate([np.arange(begin, begin + size - LENGTH + 1) for begin, size in zip(begins, sizes)])
+    counts = sizes - LENGTH + 1
+    before = np.cumsum(counts) - counts
+    segment = np.repeat(np.arange(len(contents)), counts)
+    starts = np.arange(len(segment)) + (begins - before)[segment]
     owner = np.full(len(text), -1, np.int64)
-    owner[starts] = np.repeat(np.arange(len(contents)), sizes - LENGTH + 1)
+    owner[starts] = segment
     own = owner[order] >= 0
     same = np.cumsum(common < LENGTH)[own]  # strings with one number are equal, for common prefixes stop at their length
     places = order[own]
     heads = np.flatnonzero(np.concatenate(([True], same[1:] != same[:-1])))
     least = np.empty(len(text), np.int64)
     least[places] = np.repeat(np.minimum.reduceat(ranks[owner[places]], heads), np.diff(np.append(heads, len(places))))
-    out = []
-    for begin, size in zip(begins.tolist(), sizes.tolist()):
-        found = least[begin : begin + size - LENGTH + 1]
-        cuts = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1])))
-        out.append(list(zip(cuts.tolist(), np.append(cuts[1:], len(found)).tolist(), found[cuts].tolist())))
-    return out
+    found = least[starts]
+    cuts = np.flatnonzero(np.concatenate(([True], (found[1:] != found[:-1]) | (segment[1:] != segment[:-1]))))
+    shift = before[segment[cuts]]
+    runs = np.stack((cuts - shift, np.append(cuts[1:], len(found)) - shift, found[cuts]), 1)
+    return runs, np.bincount(segment[cuts], minlength=len(contents))
+
+
+def least_ranks(contents: list[bytes], ranks: np.ndarray) -> list[list[tuple[int, int, int]]]:
+    """For each segment the runs (start, stop, least) of its strings and the smallest rank of a segment of the shard with the same string."""
+    runs, counts = segment_runs(contents, ranks)
+    return [list(map(tuple, own.tolist())) for own in np.split(runs, np.cumsum(counts)[:-1])]
 
 
 def distinct_segments(parts: DataFrame) -> DataFrame:
@@ -218,7 +237,7 @@ def distinct_segments(parts: DataFrame) -> DataFrame:
 
 
 def solved(distinct: DataFrame) -> DataFrame:
-    """One row (segment, runs) for each segment: see ``least_ranks``."""
+    """One row (segment, runs) for each segment: see ``least_ranks``. Runs stay arrays, as most segments are short and very many."""
     dealt = distinct.repartition(parallelism(distinct), "anchor").sortWithinPartitions("anchor")
     runs = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("least", pa.int64())]))
 
@@ -242,13 +261,13 @@ def solved(distinct: DataFrame) -> DataFrame:
             # The strings of an anchor's only segment occur nowhere else: its own rank is the answer.
             sizes = pc.binary_length(contents).to_numpy().astype(np.int64)
             places = np.flatnonzero(several)
-            found = least_ranks(contents.take(places).to_pylist(), ranks[places]) if len(places) else []
             counts = np.ones(len(anchor), np.int64)
-            counts[places] = np.fromiter(map(len, found), np.int64, len(found))
+            if len(places):
+                found, counts[places] = segment_runs(contents.take(places).to_pylist(), ranks[places])
             whole = np.stack((np.zeros(len(anchor), np.int64), sizes - LENGTH + 1, ranks), 1)
             flat = np.repeat(whole, counts, axis=0)
             if len(places):
-                flat[np.repeat(several, counts)] = np.array([run for own in found for run in own], np.int64).reshape(-1, 3)
+                flat[np.repeat(several, counts)] = found
             values = pa.StructArray.from_arrays([pa.array(column) for column in flat.T.copy()], fields=list(runs.value_type))
             offsets = pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32))
             rows = pa.ListArray.from_arrays(offsets, values)

@@ -163,21 +163,21 @@ class _MinTable:
     """Least values of ranges, from the least of each range with a power of two as length."""
 
     def __init__(self, values: np.ndarray):
-        self.rows = [values]
-        size = 1
+        rows, size = [values], 1
         while 2 * size <= len(values):
-            self.rows.append(np.minimum(self.rows[-1][:-size], self.rows[-1][size:]))
+            rows.append(np.minimum(rows[-1][:-size], rows[-1][size:]))
             size *= 2
         self.all = values.min()
+        self.flat = np.concatenate(rows)
+        self.begin = np.cumsum([0, *map(len, rows[:-1])])  # where each length has its values
 
     def least(self, start: np.ndarray, stop: np.ndarray, empty: int = 255) -> np.ndarray:
         size = stop - start
         level = np.frexp(np.maximum(size, 1))[1] - 1
-        out = np.full(len(start), empty, np.uint8)
-        for one in np.unique(level[size > 0]).tolist():
-            at = np.flatnonzero((level == one) & (size > 0))
-            out[at] = np.minimum(self.rows[one][start[at]], self.rows[one][stop[at] - (1 << one)])
-        return out
+        full = size > 0
+        first, last = np.where(full, start, 0), np.where(full, stop - (1 << level), 0)
+        begin = self.begin[level]
+        return np.where(full, np.minimum(self.flat[begin + first], self.flat[begin + last]), np.uint8(empty))
 
 
 def suffix_order(text: np.ndarray, cap: int, memory: int = MEMORY) -> tuple[np.ndarray, np.ndarray]:

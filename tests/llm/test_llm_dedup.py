@@ -230,3 +230,37 @@ def test_repeats_of_an_empty_table_and_of_plain_rows(spark):
     got = remove_repeats(docs(spark, [(1, "short"), (2, None)]), with_text=False)
     assert got.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
     assert {(row.doc_id, row.n_removed) for row in got.collect()} == {(1, 0), (2, 0)}
+
+
+def test_runs_of_many_short_segments_take_no_loop_over_them():
+    """A shard of millions of short segments must not cost several calls for each of them; the runs are those of the segments one by one."""
+    import sys
+
+    from slicehouse.llm import suffix_dedup
+
+    rng, calls = random.Random(6), []
+    base = bytes(rng.randrange(97, 123) for _ in range(400))
+    contents = [base[at : at + 50 + rng.randrange(20)] for at in (rng.randrange(300) for _ in range(5000))]
+    ranks = np.array([rng.randrange(1000) for _ in contents])
+
+    def count(frame, event, arg):
+        calls[-1] += event in ("call", "c_call")
+
+    for size in (1000, 5000):
+        calls.append(0)
+        sys.setprofile(count)
+        try:
+            runs, counts = suffix_dedup.segment_runs(contents[:size], ranks[:size])
+        finally:
+            sys.setprofile(None)
+    assert calls[1] - calls[0] < 3 * 4000
+    least = {}
+    for content, rank in zip(contents, ranks.tolist()):
+        for at in range(len(content) - 49):
+            least[content[at : at + 50]] = min(rank, least.get(content[at : at + 50], rank))
+    at = 0
+    for content, number in zip(contents, counts.tolist()):
+        own = [value for start, stop, value in runs[at : at + number].tolist() for _ in range(start, stop)]
+        assert own == [least[content[i : i + 50]] for i in range(len(content) - 49)]
+        at += number
+    assert at == len(runs)
